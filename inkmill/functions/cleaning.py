@@ -6,8 +6,9 @@ long run costs linear time.
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ _NFC_TOUCHED = rf"[\x{{300}}-\x{{10FFFF}}&&[^{_NFC_INERT}]]"
 
 @F.arrow_udf("string")
 def _nfc(text: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(text, form="NFC")
+    return pa.array([t and unicodedata.normalize("NFC", t) for t in text.to_pylist()], pa.string())
 
 
 def nfc(text: Column) -> Column:
