@@ -11,6 +11,7 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkmill.functions import unicode_classes as uc
 
@@ -24,7 +25,7 @@ _NFC_INERT = (
 _NFC_TOUCHED = rf"[\x{{300}}-\x{{10FFFF}}&&[^{_NFC_INERT}]]"
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _nfc(text: pa.Array) -> pa.Array:
     return pa.array([t and unicodedata.normalize("NFC", t) for t in text.to_pylist()], pa.string())
 

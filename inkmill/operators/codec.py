@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from inkmill.functions.cleaning import nfc
 from inkmill.functions.pretokens import (
@@ -65,7 +66,7 @@ def _encoder(spark: SparkSession, model: BpeModel):
     byte_id = {b: FIRST_BYTE_ID + i for i, b in enumerate(bytes_by_id())}
     specials = {s: [i] for i, s in enumerate(SPECIAL_TOKENS)}
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def encode_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         merges = shared.value
         cache: dict[str, list[int]] = dict(specials)
