@@ -240,11 +240,11 @@ bpe AS (SELECT 0 AS step, word, symbols, freq, CAST(NULL AS VARCHAR) AS pair, CA
       FROM (SELECT {_pairs('symbols')} AS pair, freq FROM bpe)
       GROUP BY pair ORDER BY n DESC, pair LIMIT 1) best
   WHERE w.step < {MERGES} AND best.n >= 2),
-merges AS (SELECT DISTINCT step - 1 AS rank, pair, n FROM bpe WHERE step > 0),
+merges AS MATERIALIZED (SELECT DISTINCT step - 1 AS rank, pair, n FROM bpe WHERE step > 0),
 coded AS (SELECT word, symbols FROM bpe WHERE step = {MERGES})"""
 ENCODED = f"""{BPE},
-placed AS (SELECT ordinal, unnest(parts) AS word, unnest(range(len(parts))) AS at FROM spoken),
-encoded AS (SELECT ordinal, string_agg(symbols, '' ORDER BY at) AS symbols
+placed AS (SELECT ordinal, unnest(parts) AS word, unnest(range(len(parts))) AS pos FROM spoken),
+encoded AS (SELECT ordinal, string_agg(symbols, '' ORDER BY pos) AS symbols
   FROM placed JOIN coded USING (word) GROUP BY ordinal),
 identified AS (SELECT e.*, sha1(CAST(doc_id AS VARCHAR) || '|' || source || '|' || lang || '|' ||
     CAST(ordinal AS VARCHAR)) AS stable_id FROM encoded e JOIN documents d ON d.doc_id + 1 = e.ordinal),
@@ -267,10 +267,10 @@ WINDOW = f"""starts AS (SELECT w AS window_id, (w * {STRIDE}) % (total - {BLOCK}
   FROM streams, (SELECT unnest(range({WINDOWS})) AS w) WHERE split = 'val'),
 windows AS (SELECT window_id, start, substr(stream, start + 1, {BLOCK}) AS x,
   substr(stream, start + 2, {BLOCK}) AS y FROM starts)"""
-PAIRS = """train_ids AS (SELECT unnest(chars) AS c, unnest(range(len(chars))) AS at FROM (
+PAIRS = """train_ids AS (SELECT unnest(chars) AS c, unnest(range(len(chars))) AS pos FROM (
   SELECT string_split(stream, '') AS chars FROM streams WHERE split = 'train')),
 train_pairs AS (SELECT prev, next, count(*) AS n FROM (
-  SELECT unicode(c) - 256 AS prev, unicode(lead(c) OVER (ORDER BY at)) - 256 AS next FROM train_ids)
+  SELECT unicode(c) - 256 AS prev, unicode(lead(c) OVER (ORDER BY pos)) - 256 AS next FROM train_ids)
   WHERE next IS NOT NULL GROUP BY prev, next)"""
 SCORED = f"""{WINDOW}, {PAIRS},
 targets AS (SELECT prev, next, count(*) AS n FROM (
@@ -295,9 +295,9 @@ def oracle_sql() -> dict[str, str]:
     line = f"(SELECT doc_id, unnest(string_split(text, {NL})) AS line FROM documents)"
     byte_ids = f"""WITH bytes AS (SELECT doc_id, unnest(list_append(list_transform(
       regexp_extract_all(hex(encode(nfc_normalize(text))), '..'), lambda h: ('0x' || h)::INT), -1)) AS b,
-      unnest(range(octet_length(encode(nfc_normalize(text))) + 1)) AS at FROM documents),
+      unnest(range(octet_length(encode(nfc_normalize(text))) + 1)) AS pos FROM documents),
     stream AS (SELECT CASE WHEN b < 0 THEN 3 ELSE {BYTE_ID} END AS id,
-      row_number() OVER (ORDER BY doc_id, at) - 1 AS position FROM bytes)
+      row_number() OVER (ORDER BY doc_id, pos) - 1 AS position FROM bytes)
     SELECT (position // 65536) * 65536 AS start_offset, count(*) AS n_tokens,
       CAST(sum(id) AS BIGINT) AS id_sum FROM stream GROUP BY 1"""
     profile = f"""SELECT 'documents.parquet' AS file, count(*) AS rows,
@@ -390,7 +390,7 @@ def oracle_sql() -> dict[str, str]:
         "bpe_vocabulary": f"""WITH RECURSIVE {BPE}, byte_rows AS (SELECT {BYTE_ID} AS id, b FROM (SELECT unnest(range(256)) AS b)),
           grown AS (SELECT 260 AS id, chr(260) AS piece, -1 AS r WHERE false
             UNION ALL SELECT id, upper(printf('%02x', b)), -1 FROM byte_rows),
-          folded AS (SELECT list(pair ORDER BY rank) AS pairs FROM merges),
+          folded AS MATERIALIZED (SELECT list(pair ORDER BY rank) AS pairs FROM merges),
           spelling(step, names) AS (
             SELECT 0, (SELECT list(piece ORDER BY id) FROM grown)
             UNION ALL

@@ -102,9 +102,6 @@ def jsonl_line_count(spark: SparkSession, sf: str) -> DataFrame:
     return src.count_lines(spark, path)
 
 
-REPORT_TYPES = "double", "long"
-
-
 def written_corpus(spark: SparkSession, sf: str) -> tuple[CorpusBuild, str]:
     result = build(spark, sf, with_text=True)
     folder = staging_path(spark, "corpus")
@@ -421,10 +418,10 @@ def queries() -> dict[str, Query]:
             s, sf, CorpusConfig.production(columns=COLUMNS)
         ).select("ordinal", "reason"),
         # selection
-        "kept_documents": lambda s, sf: scored(s, sf)
+        "kept_documents": lambda s, sf: thin(s, sf)
         .where(F.col("reason").isNull())
         .select("ordinal", F.col("metrics.chars").alias("chars")),
-        "content_hash": lambda s, sf: scored(s, sf)
+        "content_hash": lambda s, sf: thin(s, sf)
         .where(F.col("reason").isNull())
         .select("ordinal", "content_hash"),
         "exact_dedup": lambda s, sf: selection.drop_exact_duplicates(thin(s, sf)).select(

@@ -18,7 +18,11 @@ META = ["file_id", "title", "author", "date"]
 
 
 def score_documents(docs: DataFrame, cfg: CorpusConfig) -> DataFrame:
-    """Clean, measure, score and judge every document; narrow, one pass over the text."""
+    """Clean, measure, score and judge every document; narrow, one pass over the text.
+
+    Stage the result before filtering on its columns: a filter put right on top is pushed
+    below the projections and computes them twice.
+    """
     cleaned = docs.select("ordinal", *META, clean_for_model(F.col("text")).alias("cleaned"))
     scored = with_text_metrics(cleaned, "cleaned")
     scored = scored.withColumn("score", quality_score(F.col("metrics")))
