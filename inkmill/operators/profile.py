@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkmill.functions.cleaning import strip
+from inkmill.sources import files
 
 # Names tried in this order for the text column.
 TEXT_CANDIDATES = [
@@ -28,19 +32,23 @@ SAMPLE_CHARS = 300
 
 def detect_text_column(schema: T.StructType, forced: str | None = None) -> str:
     """The forced column, else the first known name, else the only string column."""
+    strings = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    return choose_text_column(schema.names, strings, forced)
+
+
+def choose_text_column(names: list[str], strings: list[str], forced: str | None) -> str:
     if forced:
-        if forced in schema.names:
+        if forced in names:
             return forced
-        raise ValueError(f"text column {forced!r} not among {schema.names}")
-    known = next((name for name in TEXT_CANDIDATES if name in schema.names), None)
+        raise ValueError(f"text column {forced!r} not among {names}")
+    known = next((name for name in TEXT_CANDIDATES if name in names), None)
     if known:
         return known
-    strings = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     if len(strings) == 1:
         return strings[0]
     if strings:
         raise ValueError(f"several string columns, name one of {strings}")
-    raise ValueError(f"no string column among {schema.names}")
+    raise ValueError(f"no string column among {names}")
 
 
 def read_for_profile(
@@ -153,28 +161,59 @@ def profile_folder(
 ) -> FolderProfile:
     """Profile a folder in which single files may be unreadable or lack a text column.
 
-    The schema of each file is looked at on its own (footers only); files that share one are
+    Tasks look at the footers, file by file; files that share text column and type are then
     read by one job. A file that fails is reported and does not stop the others.
     """
     listing = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path")
     )
-    paths = sorted(row["path"] for row in listing.collect())  # file names only
+    looked_at = (
+        listing.repartition(spark.sparkContext.defaultParallelism)
+        .mapInArrow(_text_columns(text_column), "path string, text_column string, type string")
+        .collect()  # names only, one row per file
+    )
+    failed = sorted(row["path"] for row in looked_at if row["text_column"] is None)
     groups: dict[tuple, list[str]] = {}
-    failed: list[str] = []
-    for path in paths:
-        try:
-            schema = spark.read.parquet(path).schema
-            column = detect_text_column(schema, text_column)
-        except Exception:  # any unreadable footer or missing column counts as failed
-            failed.append(path)
-        else:
-            groups.setdefault((column, schema[column].dataType.simpleString()), []).append(path)
+    for row in looked_at:
+        if row["text_column"] is not None:
+            groups.setdefault((row["text_column"], row["type"]), []).append(row["path"])
     rows = None
     for (column, _), members in groups.items():
-        part = spark.read.option("ignoreCorruptFiles", "true").parquet(*members)
+        part = spark.read.option("ignoreCorruptFiles", "true").parquet(*sorted(members))
         part = _profile_input(part, column)
         rows = part if rows is None else rows.unionByName(part)
     if rows is None:
         raise FileNotFoundError(f"no readable Parquet file matches {glob!r} in {folder}")
-    return FolderProfile(profile(rows), global_profile(rows), len(paths) - len(failed), failed)
+    processed = len(looked_at) - len(failed)
+    return FolderProfile(profile(rows), global_profile(rows), processed, failed)
+
+
+def _text_columns(forced: str | None):
+    """Footer check of a batch of files: text column and type, or null for a bad file."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            names, types = [], []
+            for path in paths:
+                try:
+                    system, inner = files.resolve(path)
+                    with system.open_input_file(inner) as source:
+                        schema = pq.read_schema(source)
+                    strings = [
+                        f.name
+                        for f in schema
+                        if pa.types.is_string(f.type) or pa.types.is_large_string(f.type)
+                    ]
+                    name = choose_text_column(schema.names, strings, forced)
+                    found = (name, str(schema.field(name).type))
+                except Exception:  # unreadable footer or no clear text column
+                    found = (None, None)
+                names.append(found[0])
+                types.append(found[1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(column, pa.string()) for column in (paths, names, types)],
+                names=["path", "text_column", "type"],
+            )
+
+    return look

@@ -54,9 +54,16 @@ def encode_stats(tokens: DataFrame) -> DataFrame:
 
 
 def with_offsets(
-    tokens: DataFrame, keys: list[str] | None = None, block_rows: int = 10_000
+    tokens: DataFrame, keys: list[str] | None = None, block_rows: int | None = None
 ) -> DataFrame:
-    """Add ``start_offset``: where each document begins in the stream of its key."""
+    """Add ``start_offset``: where each document begins in the stream of its key.
+
+    A block of documents meets in one task with its ids, so blocks are kept small; they only
+    grow where there would be more than a million of them (then documents are short).
+    """
+    if block_rows is None:
+        last = tokens.agg(F.max("ordinal")).first()[0] or 0
+        block_rows = max(1000, -(-last // 1_000_000))
     return with_running_total(
         tokens, "n_tokens", "start_offset", keys=keys, inclusive=False, block_rows=block_rows
     )
@@ -93,20 +100,17 @@ def token_windows(
         wanted = F.broadcast(wanted)
 
     begin, size = F.col("start_offset"), F.size("ids")
-    pieces = tokens.where(size > 0).select(
-        "start_offset",
-        "ids",
-        F.explode(
-            F.sequence(F.floor(begin / width), F.floor((begin + size - 1) / width))
-        ).alias("bucket"),
-    )
-    low = F.greatest(begin, F.col("bucket") * width)
-    high = F.least(begin + size, (F.col("bucket") + 1) * width)
-    pieces = pieces.select(
-        "bucket",
-        low.alias("at"),
-        F.slice("ids", (low - begin + 1).cast("int"), (high - low).cast("int")).alias("part"),
-    )
+
+    def piece(bucket: Column) -> Column:
+        low = F.greatest(begin, bucket * width)
+        high = F.least(begin + size, (bucket + 1) * width)
+        part = F.slice("ids", (low - begin + 1).cast("int"), (high - low).cast("int"))
+        return F.struct(bucket.alias("bucket"), low.alias("at"), part.alias("part"))
+
+    # Sliced before the explode, which would otherwise copy the whole document per bucket.
+    buckets = F.sequence(F.floor(begin / width), F.floor((begin + size - 1) / width))
+    pieces = tokens.where(size > 0).select(F.explode(F.transform(buckets, piece)).alias("p"))
+    pieces = pieces.select("p.*")
     # Cut to the window before the shuffle, so that a window gathers block_size + 1 ids.
     low = F.greatest("at", "start")
     high = F.least(F.col("at") + F.size("part"), F.col("start") + block_size + 1)

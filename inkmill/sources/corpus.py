@@ -42,7 +42,7 @@ def read_corpus(
     )
     docs = with_ordinal(docs, len(source.inputFiles()))
     docs = docs.select("ordinal", "file_id", "title", "author", "date", "text")
-    return spread(docs, "ordinal")
+    return spread(docs, "ordinal", scan=source)
 
 
 def _load_parquet(spark: SparkSession, folder: str, glob: str) -> DataFrame:

@@ -35,12 +35,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str, scan: DataFrame | None = None) -> DataFrame:
     """Use all cores when the input has fewer scan splits than the session has slots.
 
-    A big input always has more splits than slots, so this adds no shuffle there.
+    ``scan`` is the plain scan below ``df`` if ``df`` is more than that; only its splits are
+    counted, nothing runs. A big input always has more splits than slots, so there this adds
+    no shuffle.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * slots:
+    if (df if scan is None else scan).rdd.getNumPartitions() >= 2 * slots:
         return df
     return df.repartition(slots, *keys)
