@@ -313,7 +313,7 @@ def oracle_sql() -> dict[str, str]:
     both = f"""WITH rows_in AS (SELECT 'documents.parquet' AS file, doc_id AS position, text FROM documents
       UNION ALL SELECT 'conversations.parquet', row_number() OVER (), text FROM conversations),
       real_docs AS (SELECT * FROM rows_in WHERE {strip('text')} <> '')
-    SELECT 2 AS files, (SELECT count(*) FROM rows_in) AS rows, count(*) AS non_empty_docs,
+    SELECT CAST(2 AS BIGINT) AS files, (SELECT count(*) FROM rows_in) AS rows, count(*) AS non_empty_docs,
       CAST(sum(length(text)) AS BIGINT) AS chars, CAST(sum(length(text)) // 4 AS BIGINT) AS bpe_estimate,
       (SELECT count(DISTINCT c) FROM (SELECT unnest(string_split(text, '')) AS c FROM real_docs))
         AS unique_chars FROM real_docs"""
@@ -344,10 +344,10 @@ def oracle_sql() -> dict[str, str]:
         "strip_text": page.format(strip("html")),
         "normalize_text": each.format(normal("text")),
         "normalize_pages": page.format(normal("html")),
-        "header_footer_lines": f"""SELECT doc_id, count(*) AS lines,
-          count(*) FILTER ({header(strip('line'))}) AS header_lines FROM {line} GROUP BY doc_id""",
-        "symbol_soup_lines": f"""SELECT doc_id, count(*) AS lines,
-          count(*) FILTER ({soup('line')}) AS soup_lines FROM {line} GROUP BY doc_id""",
+        "header_footer_lines": f"""SELECT doc_id, CAST(count(*) AS INT) AS lines,
+          CAST(count(*) FILTER ({header(strip('line'))}) AS INT) AS header_lines FROM {line} GROUP BY doc_id""",
+        "symbol_soup_lines": f"""SELECT doc_id, CAST(count(*) AS INT) AS lines,
+          CAST(count(*) FILTER ({soup('line')}) AS INT) AS soup_lines FROM {line} GROUP BY doc_id""",
         "drop_noise_lines": each.format(no_noise("text")),
         "clean_for_model": f"WITH {CLEANING} SELECT ordinal, cleaned FROM clean",
         # quality
@@ -381,7 +381,7 @@ def oracle_sql() -> dict[str, str]:
           SELECT unnest(string_split(text, '')) AS c FROM documents WHERE {strip('text')} <> '')""",
         "global_profile": both,
         # tokenizer
-        "pretokens": f"WITH {WORDS} SELECT ordinal, len(parts) AS n_words, md5(array_to_string(parts, '|')) AS words_md5 FROM spoken",
+        "pretokens": f"WITH {WORDS} SELECT ordinal, CAST(len(parts) AS INT) AS n_words, md5(array_to_string(parts, '|')) AS words_md5 FROM spoken",
         "word_counts": f"WITH {WORDS} SELECT word, freq FROM words",
         "pair_counts": f"""WITH {WORDS} SELECT unicode(pair) - 256 AS left_id, unicode(substr(pair, 2)) - 256 AS right_id,
           CAST(sum(freq) AS BIGINT) AS n FROM (SELECT {_pairs('symbols')} AS pair, freq FROM spelled) GROUP BY pair""",
@@ -397,19 +397,19 @@ def oracle_sql() -> dict[str, str]:
             SELECT step + 1, list_append(names, names[unicode(pairs[step + 1]) - 259] ||
               names[unicode(substr(pairs[step + 1], 2)) - 259]) FROM spelling, folded WHERE step < len(pairs)),
           named AS (SELECT names FROM spelling ORDER BY step DESC LIMIT 1)
-          SELECT unnest(range(len(names))) + 4 AS id, unnest(names) AS bytes_hex FROM named
+          SELECT CAST(unnest(range(len(names))) + 4 AS INT) AS id, unnest(names) AS bytes_hex FROM named
           UNION ALL SELECT * FROM (VALUES (0, '5B5041445D'), (1, '5B554E4B5D'), (2, '5B424F535D'), (3, '5B454F535D'))""",
         "encode": f"{TOKENS} SELECT ordinal, {_ids('symbols')} AS ids FROM encoded",
         "decode": f"SELECT doc_id + 1 AS ordinal, nfc_normalize(text) AS text FROM documents",
-        "round_trip": f"SELECT count(*) AS documents, 0 AS mismatches FROM documents",
-        "tokenizer_report": f"""WITH RECURSIVE {BPE} SELECT 'BPE' AS type, 260 + (SELECT count(*) FROM merges) AS vocab_size,
+        "round_trip": f"SELECT count(*) AS documents, CAST(0 AS BIGINT) AS mismatches FROM documents",
+        "tokenizer_report": f"""WITH RECURSIVE {BPE} SELECT 'BPE' AS type, CAST(260 + (SELECT count(*) FROM merges) AS INT) AS vocab_size,
           2 AS min_frequency, count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents""",
         # token dataset
-        "append_eos": f"{TOKENS} SELECT ordinal, {_ids('symbols')} AS ids, n_tokens FROM tokens",
-        "encode_stats": f"""{TOKENS} SELECT count(*) AS docs_written, 0 AS empty_docs,
+        "append_eos": f"{TOKENS} SELECT ordinal, {_ids('symbols')} AS ids, CAST(n_tokens AS INT) AS n_tokens FROM tokens",
+        "encode_stats": f"""{TOKENS} SELECT count(*) AS docs_written, CAST(0 AS BIGINT) AS empty_docs,
           (SELECT CAST(sum(length(text)) AS BIGINT) FROM documents) AS characters,
           CAST(sum(n_tokens) AS BIGINT) AS tokens FROM tokens""",
-        "token_offsets": f"{TOKENS} SELECT split, ordinal, n_tokens, start_offset FROM placed_tokens",
+        "token_offsets": f"{TOKENS} SELECT split, ordinal, CAST(n_tokens AS INT) AS n_tokens, start_offset FROM placed_tokens",
         "token_windows": f"{TOKENS}, {WINDOW} SELECT window_id, start, {_ids('x')} AS x, {_ids('y')} AS y FROM windows",
         "dataset_meta": f"""{TOKENS} SELECT {VOCAB} AS vocab_size, 'uint16' AS dtype, {BLOCK} AS block_size,
           true AS append_eos, 3 AS eos_id,
