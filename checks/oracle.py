@@ -406,7 +406,7 @@ def oracle_sql() -> dict[str, str]:
           2 AS min_frequency, count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents""",
         # token dataset
         "append_eos": f"{TOKENS} SELECT ordinal, {_ids('symbols')} AS ids, CAST(n_tokens AS INT) AS n_tokens FROM tokens",
-        "encode_stats": f"""{TOKENS} SELECT count(*) AS docs_written, CAST(0 AS BIGINT) AS empty_docs,
+        "encode_stats": f"""{TOKENS} SELECT (SELECT count(*) FROM documents) AS docs_seen, count(*) AS docs_written, CAST(0 AS BIGINT) AS empty_docs,
           (SELECT CAST(sum(length(text)) AS BIGINT) FROM documents) AS characters,
           CAST(sum(n_tokens) AS BIGINT) AS tokens FROM tokens""",
         "token_offsets": f"{TOKENS} SELECT split, ordinal, CAST(n_tokens AS INT) AS n_tokens, start_offset FROM placed_tokens",

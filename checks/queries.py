@@ -469,7 +469,7 @@ def queries() -> dict[str, Query]:
         "tokenizer_report": tokenizer_report,
         # token dataset
         "append_eos": with_eos,
-        "encode_stats": lambda s, sf: encode_stats(tokenize(documents(s, sf), learned(s, sf))),
+        "encode_stats": lambda s, sf: encode_stats(documents(s, sf), learned(s, sf)),
         "token_offsets": lambda s, sf: dataset(s, sf).tokens.select(
             "split", "ordinal", "n_tokens", "start_offset"
         ),

@@ -43,13 +43,21 @@ def tokenize(docs: DataFrame, model: BpeModel, with_eos: bool = True) -> DataFra
     return coded.withColumn("ids", ids).withColumn("n_tokens", F.size("ids"))
 
 
-def encode_stats(tokens: DataFrame) -> DataFrame:
-    """One row: documents written, those without tokens, characters and tokens."""
-    return tokens.agg(
-        F.count("*").alias("docs_written"),
-        F.coalesce(F.sum((F.col("n_tokens") == 0).cast("int")), F.lit(0)).alias("empty_docs"),
-        F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("characters"),
-        F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"),
+def encode_stats(docs: DataFrame, model: BpeModel, with_eos: bool = True) -> DataFrame:
+    """One row: documents seen, those with text, of these without tokens, characters, tokens."""
+    ids = append_eos(F.col("ids"), eos_id(model) if with_eos else None)
+    coded = encode(docs.select("text"), model).select("text", F.size(ids).alias("n_tokens"))
+    valid = F.col("text") != ""
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(valid, value)), F.lit(0))
+
+    return coded.agg(
+        F.count("*").alias("docs_seen"),
+        total(F.lit(1)).alias("docs_written"),
+        total((F.col("n_tokens") == 0).cast("int")).alias("empty_docs"),
+        total(F.length("text")).alias("characters"),
+        total(F.col("n_tokens")).alias("tokens"),
     )
 
 

@@ -4,6 +4,9 @@ A written stream is a folder of shards and a manifest. Each shard holds a run of
 documents as little-endian integers; shards in manifest order, laid end to end, are the
 whole stream. Shards have unique names and count only once the manifest lists them, so a
 retried or lost task leaves no trace in the result.
+
+On a cluster give the path as a full URI of a shared file system; a path without a scheme is
+taken as a mounted one.
 """
 
 from __future__ import annotations

@@ -5,7 +5,6 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
 
 from inkmill import ColumnMap, CorpusConfig
 from inkmill.operators import ordering, selection
@@ -235,6 +234,3 @@ def test_no_text_is_shuffled_for_dedup(spark, folder, texts):
     thin = selection.drop_exact_duplicates(scored.drop("cleaned"))
     plan = thin._jdf.queryExecution().executedPlan().toString()
     assert "cleaned" not in plan.split("ReadSchema")[0] and "Window" not in plan
-
-
-assert F is not None

@@ -267,7 +267,9 @@ def test_top_k_keeps_ties(spark):
 
 def test_stats_and_limits(spark, model):
     df = spark.createDataFrame([(1, "ab"), (2, ""), (3, None), (4, "[EOS]")], "ordinal long, text string")
-    stats = tokens.encode_stats(tokens.tokenize(df, model)).first()
-    assert (stats["docs_written"], stats["empty_docs"], stats["characters"]) == (2, 0, 7)
+    stats = tokens.encode_stats(df, model).first()
+    assert (stats["docs_seen"], stats["docs_written"], stats["empty_docs"]) == (4, 2, 0)
+    written = tokens.tokenize(df, model).agg(F.sum("n_tokens")).first()[0]
+    assert (stats["characters"], stats["tokens"]) == (7, written)
     assert tokens.eos_id(BpeModel(tokens=[b"a"])) is None
     assert bpe.FIRST_BYTE_ID == 4
