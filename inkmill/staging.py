@@ -8,6 +8,7 @@ writes it out).
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a temporary folder only if it is unset."""
+    """The session's ``spark.checkpoint.dir``.
+
+    Where it is unset, a temporary folder serves a local session. On a cluster each executor
+    would write to its own disk, so there an unset folder is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder; master is {master!r}")
         folder = tempfile.mkdtemp(prefix="inkmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -43,6 +51,6 @@ def spread(df: DataFrame, *keys: str, scan: DataFrame | None = None) -> DataFram
     no shuffle.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if (df if scan is None else scan).rdd.getNumPartitions() >= 2 * slots:
+    if (df if scan is None else scan).rdd.getNumPartitions() >= slots:
         return df
     return df.repartition(slots, *keys)
