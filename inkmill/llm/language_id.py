@@ -17,6 +17,7 @@ the first by name. Repeated rows count as often as they occur.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,15 +29,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkmill.llm.hashing import sampled
+from inkmill.llm.worker import worker_state
 from inkmill.staging import stage
 
-FIT_ROWS = 20_000
+FIT_ROWS = 10_000
 WORDS = 50_000
 GRAMS = 30_000
 ORDERS = (5, 4, 3, 2, 1)
 EVIDENCE = 20
 UNKNOWN = "und"
-_CACHE = 300_000
+_CACHE = 500_000
 _SMOOTHING = 0.5
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -57,21 +59,70 @@ def grams_of(word: str, order: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
+    """Rows of ``table`` are log frequencies per language; words and n-grams point to them."""
+
     languages: list[str]
     prior: np.ndarray
-    words: dict[str, np.ndarray]
-    grams: dict[int, dict[str, np.ndarray]]
+    table: np.ndarray
+    words: dict[str, int]
+    grams: dict[str, int]
 
-    def score_word(self, word: str) -> np.ndarray:
+    def rows_of(self, word: str) -> list[int]:
+        """Rows whose mean is the word's score: its own, or those of its n-grams, or none."""
         known = self.words.get(word)
         if known is not None:
-            return known
+            return [known]
         for order in ORDERS:
-            table = self.grams.get(order, {})
-            hits = [table[g] for g in grams_of(word, order) if g in table]
+            get = self.grams.get
+            hits = [r for g in grams_of(word, order) if (r := get(g)) is not None]
             if hits:
-                return np.mean(hits, axis=0)
-        return np.zeros(len(self.languages), np.float32)
+                return hits
+        return []
+
+
+class ChunkScores:
+    """Summed word scores, and the number of words, of the chunks between spaces seen so far."""
+
+    def __init__(self, model: LanguageModel) -> None:
+        self.model = model
+        self.width = len(model.languages) + 1
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.table = np.zeros((0, self.width))
+
+    def add(self, chunks: list[str]) -> None:
+        rows, sources, weights = [], [], []
+        n_words = np.zeros(len(chunks))
+        for i, chunk in enumerate(chunks):
+            found = words_of(chunk)
+            n_words[i] = len(found)
+            for word in found:
+                hits = self.model.rows_of(word)
+                rows += [i] * len(hits)
+                sources += hits
+                weights += [1 / len(hits)] * len(hits)
+            self.place[chunk] = len(self.table) + i
+        fresh = np.zeros((len(chunks), self.width))
+        values = self.model.table[sources] * np.array(weights)[:, None] if sources else None
+        for lang in range(self.width - 1 if sources else 0):
+            fresh[:, lang] = np.bincount(rows, values[:, lang], len(chunks))
+        fresh[:, -1] = n_words
+        self.table = np.concatenate([self.table, fresh])
+
+    def total(self, chunks: list[str]) -> np.ndarray:
+        """Sums over the chunks of one text, in blocks that bound what a long one needs."""
+        out = np.zeros(self.width)
+        for part in range(0, len(chunks), _CACHE):
+            block = chunks[part : part + _CACHE]
+            if len(self.place) > _CACHE:
+                self.clear()
+            new = list({c for c in block if c not in self.place})
+            if new:
+                self.add(new)
+            out += self.table[[self.place[c] for c in block]].sum(axis=0)
+        return out
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,71 +195,65 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = WORDS, m
     languages = sorted(totals)
     docs = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     share = np.array([docs[lang] for lang in languages], float)
-    known = [(r["word"], r["lang"], r["n"]) for r in top(words, "word", max_words, "lang")]
+    table: list[np.ndarray] = []
+
+    def add(rows, totals: dict[str, int]) -> dict[str, int]:
+        found = _log_frequencies(rows, languages, totals)
+        first = len(table)
+        table.extend(found.values())
+        return {key: first + i for i, key in enumerate(found)}
+
+    words_at = add([(r["word"], r["lang"], r["n"]) for r in top(words, "word", max_words, "lang")], totals)
     by_order: dict[int, list] = {}
     for r in top(grams, "gram", max_grams, "lang", "order"):
         by_order.setdefault(r["order"], []).append((r["gram"], r["lang"], r["n"]))
     mass: dict[int, dict[str, int]] = {}
     for r in grams.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect():
         mass.setdefault(r["order"], {})[r["lang"]] = r["n"]
-    return LanguageModel(
-        languages,
-        np.log(share / share.sum()) if languages else share,
-        _log_frequencies(known, languages, totals),
-        {o: _log_frequencies(found, languages, mass[o]) for o, found in by_order.items()},
-    )
+    grams_at: dict[str, int] = {}
+    for order, rows_ in by_order.items():
+        grams_at |= add(rows_, mass[order])
+    prior = np.log(share / share.sum()) if languages else share
+    return LanguageModel(languages, prior, np.array(table).reshape(-1, len(languages)), words_at, grams_at)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column:
     """Struct of lang_pred and score for the texts of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    token = uuid.uuid4().hex
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = LanguageModel(**shared.value)
-        n_langs = len(model.languages)
-        place: dict[str, int] = {}
-        table = np.zeros((1024, n_langs + 1))
-
-        def add(chunk: str) -> int:
-            # One row per chunk between spaces: its words' summed scores and their number.
-            nonlocal table
-            found = words_of(chunk)
-            if len(place) == len(table):
-                table = np.concatenate([table, np.zeros_like(table)])
-            row = place[chunk] = len(place)
-            table[row] = 0
-            for word in found:
-                table[row, :n_langs] += model.score_word(word)
-            table[row, n_langs] = len(found)
-            return row
-
+        cache = worker_state("language")
+        if cache.get("token") != token:
+            cache.clear()
+            cache |= {"token": token, "scores": ChunkScores(LanguageModel(**shared.value))}
+        scores_of = cache["scores"]
+        model = scores_of.model
         for texts in parts:
             names, scores = [], []
-            for value in texts:
-                chunks = [] if value is None or not n_langs else value.split()
-                if len(place) > _CACHE:
-                    place.clear()
-                total = np.zeros(n_langs + 1)
-                # Blocks bound what a very long text needs beside itself.
-                for part in range(0, len(chunks), 100_000):
-                    block = chunks[part : part + 100_000]
-                    if len(place) > 4 * _CACHE:
-                        place.clear()
-                    get = place.get
-                    rows = [r if (r := get(c)) is not None else add(c) for c in block]
-                    total += table[rows].sum(axis=0)
-                n = total[n_langs]
-                if not n:
-                    names.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                likely = total[:n_langs] + model.prior
-                best = int(np.argmax(likely))
-                mild = total[:n_langs] * (min(n, EVIDENCE) / n) + model.prior
-                weights = np.exp(mild - mild.max())
-                names.append(model.languages[best])
-                scores.append(float(weights[best] / weights.sum()))
+            rows = [t.split() if t and model.languages else [] for t in texts]
+            for part in range(0, len(rows), 256):
+                block = rows[part : part + 256]
+                if sum(map(len, block)) <= _CACHE:  # new chunks of many texts at once
+                    if len(scores_of.place) > _CACHE:
+                        scores_of.clear()
+                    known = scores_of.place
+                    if new := list({c for chunks in block for c in chunks if c not in known}):
+                        scores_of.add(new)
+                for chunks in block:
+                    total = scores_of.total(chunks) if chunks else np.zeros(1)
+                    n = total[-1]
+                    if not n:
+                        names.append(UNKNOWN)
+                        scores.append(0.0)
+                        continue
+                    likely = total[:-1] + model.prior
+                    best = int(np.argmax(likely))
+                    mild = total[:-1] * (min(n, EVIDENCE) / n) + model.prior
+                    weights = np.exp(mild - mild.max())
+                    names.append(model.languages[best])
+                    scores.append(float(weights[best] / weights.sum()))
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
     return predict(F.col(text))
