@@ -38,7 +38,7 @@ GRAMS = 30_000
 ORDERS = (5, 4, 3, 2, 1)
 EVIDENCE = 20
 UNKNOWN = "und"
-_CACHE = 500_000
+_CACHE = 250_000
 _SMOOTHING = 0.5
 _LETTERS = re.compile(r"[^\W\d_]+")
 
