@@ -14,8 +14,8 @@ a probability of 4e-5.
 Documents with equal sets are one class from the start. Candidates are confirmed on full sets:
 first each member of a bucket with the bucket's smallest member, one pair per class, then all
 such pairs, then, where a bucket still holds several components, its strangers (members
-outside its largest component) with all other members not yet tried. Pairs inside one component
-are never made, as they cannot change a group. Components come from :mod:`components`.
+outside its largest component) with all its members, block by block. Pairs inside one component
+are never tried, as they cannot change a group. Components come from :mod:`components`.
 
 Defined cases: a null or blank text has an empty set and is linked with nothing. Rows with equal
 doc_id are one document for linking: it has the links of each of its texts. A row without doc_id takes no
@@ -42,6 +42,7 @@ _PRIME = 449  # places that shingles draw; the prime next to PLACES, which drops
 SHARE = 80  # link at SHARE hundredths and more
 _BLOCK = 16_384  # shingles that draw values together
 _BYTES = 1 << 19  # text hashed together
+_SHINGLES = 1 << 16  # of the members, and of the strangers, that meet in a block
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _FACTOR = np.uint64(0xD6E8FEB86659FD93)
 _LOW = np.uint64(0xFFFFFFFF)
@@ -263,8 +264,9 @@ def near_duplicates(docs: DataFrame, words: int) -> DataFrame:
     classes = stage(classes, "classes")
     same = usable.select("doc_id", "set_key").join(classes, "set_key")
     same = same.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
-    heads = usable.join(classes, "set_key").where("doc_id = node").select("node", "bands")
-    members = heads.select("node", F.explode("bands").alias("key"))
+    heads = usable.join(classes, "set_key").where("doc_id = node")
+    heads = heads.select("node", "n_shingles", "bands")
+    members = heads.select("node", "n_shingles", F.explode("bands").alias("key"))
     # Keys of a single class are most of them; they go before anything else moves.
     shared = members.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
     shared = shared.where("first <> last").select("key", "first")
@@ -287,12 +289,9 @@ def near_duplicates(docs: DataFrame, words: int) -> DataFrame:
     links = links.union(stage(confirmed(again, sets), "links"))
     roots = components(links)
 
-    done = tried.union(again)
-    pairs = stage(strangers(buckets.select("key", "node"), roots), "pairs")
-    pairs = stage(pairs.join(done, ["a", "b"], "left_anti"), "tried")
-    if not pairs.isEmpty():
-        links = links.union(stage(confirmed(pairs, sets), "links"))
-        roots = components(links)
+    late = stage(stranger_links(buckets, roots, sets), "links")
+    if not late.isEmpty():
+        roots = components(links.union(late))
 
     placed = rows.select("doc_id", "n_shingles").join(
         roots.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left"
@@ -314,17 +313,60 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def strangers(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs, across components, of each bucket's strangers with its other members."""
+def stranger_links(buckets: DataFrame, roots: DataFrame, sets: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) of each bucket's strangers with members of other components.
+
+    Strangers and members meet in blocks of about ``_SHINGLES`` shingles of either, and only
+    links leave a block, so a bucket with many strangers makes work but no pairs.
+    """
     placed = buckets.join(roots, "node", "left")
-    placed = placed.select("key", "node", F.coalesce("root", "node").alias("root"))
-    groups = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-    main = groups.groupBy("key").agg(
-        F.count("*").alias("groups"), F.max(F.struct("n", "root")).alias("main")
+    placed = placed.select("key", "node", "n_shingles", F.coalesce("root", "node").alias("root"))
+    groups = placed.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    keys = groups.groupBy("key").agg(
+        F.count("*").alias("groups"), F.sum("size").alias("size"), F.max(F.struct("n", "root", "size")).alias("main")
+    )
+    blocks = lambda size: F.ceil(size / _SHINGLES).cast("int")
+    keys = keys.where("groups > 1").select(
+        "key",
+        F.col("main.root").alias("main"),
+        blocks(F.col("size")).alias("m_blocks"),
+        blocks(F.col("size") - F.col("main.size")).alias("s_blocks"),
+    )
+    mixed_ = stage(placed.join(keys, "key"), "mixed-buckets")
+    part = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = mixed_.select(
+        "key", "node", "root", F.lit(False).alias("odd"), part("m_blocks", 1).alias("m"), every("s_blocks").alias("s")
+    )
+    odd = mixed_.where("root <> main").select(
+        "key", "node", "root", F.lit(True).alias("odd"), every("m_blocks").alias("m"), part("s_blocks", 2).alias("s")
     )
-    main = main.where("groups > 1").select("key", F.col("main.root").alias("main"))
-    mixed_ = stage(placed.join(main, "key"), "mixed-buckets")
-    odd = mixed_.where("root <> main").select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
-    pairs = odd.join(mixed_.select("key", "node", "root"), "key").where("rx <> root")
-    low, high = F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")
-    return pairs.select(low, high).distinct()
+    filled = members.unionByName(odd).join(sets, "node")
+    links = filled.groupBy("key", "m", "s").applyInArrow(_compare_block, "a long, b long")
+    return links.distinct()
+
+
+def _compare_block(table: pa.Table) -> pa.Table:
+    """Links between the strangers (odd) and the members of one block."""
+    odd = table["odd"].to_numpy()
+    nodes, roots = table["node"].to_numpy(), table["root"].to_numpy()
+    sets = table["shingles"].combine_chunks()
+    bounds, flat = sets.offsets.to_numpy(), sets.values.to_numpy()
+    members = np.flatnonzero(~odd)
+    sizes = np.diff(bounds)
+    owner = np.repeat(np.arange(len(members)), sizes[members])
+    values = np.concatenate([flat[bounds[i] : bounds[i + 1]] for i in members] or [flat[:0]])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    found: set[tuple[int, int]] = set()
+    for x in np.flatnonzero(odd):
+        own = flat[bounds[x] : bounds[x + 1]]
+        first = np.searchsorted(values, own, side="left")
+        n = np.searchsorted(values, own, side="right") - first
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        shared = np.bincount(owner[at], minlength=len(members))
+        near = 100 * shared >= SHARE * (sizes[x] + sizes[members] - shared)
+        for y in members[near & (roots[members] != roots[x])]:
+            found.add((int(min(nodes[x], nodes[y])), int(max(nodes[x], nodes[y]))))
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
