@@ -33,8 +33,8 @@ from inkmill.llm.worker import worker_state
 from inkmill.staging import stage
 
 FIT_ROWS = 10_000
-WORDS = 50_000
-GRAMS = 30_000
+WORDS = 30_000
+GRAMS = 20_000
 ORDERS = (5, 4, 3, 2, 1)
 EVIDENCE = 20
 UNKNOWN = "und"
@@ -189,7 +189,8 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = WORDS, m
     def top(table: DataFrame, key: str, most: int, *group: str) -> list:
         order = Window.partitionBy(*group).orderBy(F.desc("n"), key)
         ranked = table.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-        return ranked.drop("rank").collect()  # at most ``most`` rows per group
+        found = ranked.select(key, "lang", "n", *group[1:]).toArrow()  # ``most`` rows a group
+        return list(zip(*(c.to_pylist() for c in found.columns)))
 
     totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
@@ -203,10 +204,10 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = WORDS, m
         table.extend(found.values())
         return {key: first + i for i, key in enumerate(found)}
 
-    words_at = add([(r["word"], r["lang"], r["n"]) for r in top(words, "word", max_words, "lang")], totals)
+    words_at = add(top(words, "word", max_words, "lang"), totals)
     by_order: dict[int, list] = {}
-    for r in top(grams, "gram", max_grams, "lang", "order"):
-        by_order.setdefault(r["order"], []).append((r["gram"], r["lang"], r["n"]))
+    for gram, lang, n, order in top(grams, "gram", max_grams, "lang", "order"):
+        by_order.setdefault(order, []).append((gram, lang, n))
     mass: dict[int, dict[str, int]] = {}
     for r in grams.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect():
         mass.setdefault(r["order"], {})[r["lang"]] = r["n"]
@@ -232,9 +233,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> Colum
         model = scores_of.model
         for texts in parts:
             names, scores = [], []
-            rows = [t.split() if t and model.languages else [] for t in texts]
-            for part in range(0, len(rows), 256):
-                block = rows[part : part + 256]
+            texts = texts.tolist()
+            for part in range(0, len(texts), 64):
+                block = [t.split() if t and model.languages else [] for t in texts[part : part + 64]]
                 if sum(map(len, block)) <= _CACHE:  # new chunks of many texts at once
                     if len(scores_of.place) > _CACHE:
                         scores_of.clear()
