@@ -31,13 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkmill.llm.worker import worker_state
+from inkmill.llm.worker import RecentCache, small_batches, worker_state
 from inkmill.staging import stage
 
 DIVES = 40
 NODES = 3_000
 SALTS = 128
-_CACHE = 1_000_000
+_CHUNKS, _WORDS = 150_000, 300_000  # remembered per generation
 # ASCII and Latin letters with one lower-case letter each, then ASCII punctuation: such a chunk
 # has the tokens of the lower-case word followed by those of the punctuation.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\[-`{-~]*)")
@@ -58,44 +58,48 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {"": b""}
+        self.chunks, self.words = RecentCache(_CHUNKS), RecentCache(_WORDS)
 
     def _library(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
+        if not word:
+            return b""
+        ids = self.words.young.get(word) or self.words.find(word)
         if ids is None:
-            ids = self.words[word] = self._library(word)
+            ids = self._library(word)
+            self.words.put(word, ids)
         return ids
 
     def _chunk(self, chunk: str) -> bytes:
+        ids = self.chunks.find(chunk)
+        if ids is not None:
+            return ids
         plain = _PLAIN.fullmatch(chunk)
         if plain and "<|" not in chunk:
             ids = self._word(plain[1].lower()) + self._word(plain[2])
         else:
             ids = self._library(chunk)
-        self.chunks[chunk] = ids
+        self.chunks.put(chunk, ids)
         return ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         if _UNUSUAL_BLANK.search(text):
             return self._library(text)  # the library does not take these for white space
-        for cache in (self.chunks, self.words):
-            if len(cache) > _CACHE:
-                cache.clear()
-                self.words[""] = b""
-        get, make = self.chunks.get, self._chunk
-        parts = [i if (i := get(c)) is not None else make(c) for c in text.split()]
-        return b"".join(parts)
+        chunks, make = self.chunks, self._chunk
+        return b"".join(
+            [i if (i := chunks.young.get(c)) is not None else make(c) for c in text.split()]
+        )
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of each document's pieces."""
 
+    small_batches(docs.sparkSession)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = worker_state(f"chunks {tokenizer_path}")
         if not cache:

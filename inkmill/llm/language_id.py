@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkmill.llm.hashing import sampled
-from inkmill.llm.worker import worker_state
+from inkmill.llm.worker import small_batches, worker_state
 from inkmill.staging import stage
 
 FIT_ROWS = 10_000
@@ -179,6 +179,7 @@ def _log_frequencies(rows, languages: list[str], totals: dict[str, int]) -> dict
 
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = WORDS, max_grams: int = GRAMS) -> LanguageModel:
     """Model of the rows of ``labelled`` (doc_id, text, lang) with neither text nor lang null."""
+    small_batches(labelled.sparkSession)
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
     rows = sampled(rows, rows.count(), fit_rows, "doc_id")
     counted = rows.select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long")
@@ -220,6 +221,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = WORDS, m
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column:
     """Struct of lang_pred and score for the texts of ``docs``."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     token = uuid.uuid4().hex
 

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm.hashing import sampled
+from inkmill.llm.worker import small_batches
 
 FIT_ROWS = 10_000
 PAIRS = 200_000
@@ -158,6 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Quality
     """Model from ``labels`` (doc_id, quality) and the texts of the sampled ids in ``docs``."""
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id")
     known = known.agg((F.avg("quality") >= 0.5).alias("good"))
+    small_batches(docs.sparkSession)
     texts = docs.select("doc_id", "text")
     sizes = {r["good"]: r["n"] for r in known.groupBy("good").agg(F.count("*").alias("n")).collect()}
     classes = {}
@@ -186,6 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Quality
 
 def quality_score(docs: DataFrame, model: QualityModel, text: str = "text") -> Column:
     """Score from 0 to 1 of the texts of ``docs``; 0.5 and more are good."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.pandas_udf("double")

@@ -22,6 +22,7 @@ from inkmill.llm import (
 )
 from inkmill.llm.hashing import fold
 from inkmill.llm.settings import CAPACITY, END_ID, PACK_TOKENIZER, PIECE_MODEL, RULES, WORDS
+from inkmill.llm.worker import small_batches
 from inkmill.staging import spread, staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +33,7 @@ def table(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
     return spread(table(spark, sf, "documents", "doc_id", "text"))
 
 

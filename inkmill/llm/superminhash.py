@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm.components import components
+from inkmill.llm.worker import small_batches
 from inkmill.staging import stage
 
 ROWS = 8
@@ -258,6 +259,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
+    small_batches(docs.sparkSession)
     rows = stage(sketch(docs, words), "sketches")
     usable = rows.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
     classes = usable.groupBy("set_key").agg(F.min("doc_id").alias("node"))

@@ -31,7 +31,7 @@ from inkmill.llm.worker import worker_state
 LONG = 256
 _MARK = "▁"
 _PRETOKEN = re.compile(f"{_MARK}*[^{_MARK}]+|{_MARK}+")
-_CACHE = 500_000
+_CACHE = 300_000
 _NONE = np.int64(1) << 40
 
 

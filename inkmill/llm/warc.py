@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from inkmill.llm.worker import small_batches
 from inkmill.staging import stage
 
 MAGIC = "WARC/1.1\r\n"
@@ -68,6 +69,7 @@ def base32_sha1(raw: bytes) -> str:
 
 def write_warc(pages: DataFrame, folder: str, revisit_bytes: int = 0) -> None:
     """Archives of ``pages`` (page_id, url, html) below ``folder``."""
+    small_batches(pages.sparkSession)
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html")
     )
@@ -107,6 +109,7 @@ def write_warc(pages: DataFrame, folder: str, revisit_bytes: int = 0) -> None:
 
 def _lines(spark: SparkSession, folder: str) -> DataFrame:
     """Parts between version lines, with the file and the start of their split."""
+    small_batches(spark)
     parts = spark.read.option("lineSep", MAGIC).text(folder)
     return parts.select(
         F.col("value").cast("binary").alias("value"),
