@@ -17,10 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkmill.llm.hashing import small
 from inkmill.staging import spread, stage
 
 SIZE = 10
 BROADCAST_WINDOWS = 2_000_000  # rows of one long each
+BROADCAST_MARKS = 2_000_000  # candidates, of two integers each
+BROADCAST_IDS = 1_000_000  # documents, of two longs each
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
@@ -104,6 +107,8 @@ def find_hits(
 
     # Only documents with candidates are read again, for the words themselves.
     wanted = candidates.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_hash", "_hash")
+    n_marks = candidates.agg(F.sum(F.size("marks") + 2)).first()[0] or 0
+    wanted = small(wanted, BROADCAST_MARKS, n_marks)
     again = thin.join(
         wanted, thin["doc_id"].eqNullSafe(wanted["_id"]) & (F.xxhash64("text") == wanted["_hash"])
     )
@@ -180,7 +185,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, remov
         F.xxhash64(docs["text"]) == found[names["text_hash"]]
     )
     if remove == "documents":
-        return docs.join(found, same, "left_anti")
+        keys = found.select(names["doc_id"], names["text_hash"])
+        return docs.join(small(keys, BROADCAST_IDS), same, "left_anti")
     joined = docs.join(found, same, "left")
     parts = F.regexp_extract_all(F.col("text"), F.lit(_WORD_AND_GAP), F.lit(0))
     lead = F.regexp_extract("text", r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)

@@ -19,3 +19,12 @@ def sampled(rows: DataFrame, n_rows: int, bound: int, *keys: str) -> DataFrame:
         return rows
     share = int(_STEPS * bound / n_rows)
     return rows.where(F.pmod(F.xxhash64(*keys, F.lit("sample")), F.lit(_STEPS)) < share)
+
+
+def small(df: DataFrame, bound: int, n_rows: int | None = None) -> DataFrame:
+    """``df`` to be broadcast if it has at most ``bound`` rows, else as it is.
+
+    Either way a join gives the same rows; broadcast, the other side is not shuffled.
+    """
+    n_rows = df.count() if n_rows is None else n_rows
+    return F.broadcast(df) if n_rows <= bound else df

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm.components import components
+from inkmill.llm.hashing import small
 from inkmill.llm.worker import small_batches
 from inkmill.staging import stage
 
@@ -40,6 +41,7 @@ ROWS = 8
 BANDS = 56
 PLACES = ROWS * BANDS
 _PRIME = 449  # places that shingles draw; the prime next to PLACES, which drops the last one
+BROADCAST_IDS = 2_000_000  # one long each; more are joined by shuffle
 SHARE = 80  # link at SHARE hundredths and more
 _BLOCK = 16_384  # shingles that draw values together
 _BYTES = 1 << 19  # text hashed together
@@ -276,7 +278,7 @@ def near_duplicates(docs: DataFrame, words: int) -> DataFrame:
 
     stars = buckets.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     stars = stage(stars.distinct(), "stars")
-    wanted = buckets.select("node").distinct()
+    wanted = small(stage(buckets.select("node").distinct(), "wanted"), BROADCAST_IDS)
     sets = shingle_sets(docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi"), words)
     sets = stage(sets, "sets")
     links = stage(same.distinct(), "links")

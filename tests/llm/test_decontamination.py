@@ -118,3 +118,10 @@ def test_removes_spans(make_docs, benchmark):
 def test_main_path_runs_no_python(make_docs, benchmark):
     plan = op.contamination(make_docs(DOCS), benchmark)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_many_candidates_take_the_shuffle(make_docs, benchmark, monkeypatch):
+    few = rows(op.decontaminate(make_docs(DOCS), benchmark))
+    monkeypatch.setattr(op, "BROADCAST_MARKS", 0)
+    monkeypatch.setattr(op, "BROADCAST_IDS", 0)
+    assert rows(op.decontaminate(make_docs(DOCS), benchmark)) == few
