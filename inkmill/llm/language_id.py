@@ -216,7 +216,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = WORDS, m
     for order, rows_ in by_order.items():
         grams_at |= add(rows_, mass[order])
     prior = np.log(share / share.sum()) if languages else share
-    return LanguageModel(languages, prior, np.array(table).reshape(-1, len(languages)), words_at, grams_at)
+    return LanguageModel(languages, prior, np.array(table, np.float32).reshape(len(table), len(languages)), words_at, grams_at)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column:
