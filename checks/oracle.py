@@ -17,6 +17,7 @@ from checks.settings import (
     TOP_K,
     VAL_RATIO,
     VOCAB,
+    WHOLE,
     WINDOWS,
 )
 
@@ -185,20 +186,28 @@ kept AS (SELECT p.*, sha1(coalesce(file_id, '') || '|' || coalesce(title, '') ||
 routed AS (SELECT *, CASE WHEN ('0x' || substr(md5(doc_id), 1, 8))::BIGINT / 4294967295.0::DOUBLE
     < {VAL_RATIO} THEN 'val' ELSE 'train' END AS split FROM kept)"""
 KEPT = f"WITH {judged(MIN_CHARS)}, {IDENTITY}"
-CUT = f"""{KEPT}, running AS (SELECT ordinal, chars, sum(chars) OVER (ORDER BY ordinal) AS running_chars
+
+def cut_at(budget: int) -> str:
+    return f"""{KEPT}, running AS (SELECT ordinal, chars, sum(chars) OVER (ORDER BY ordinal) AS running_chars
   FROM routed),
-cut AS (SELECT coalesce((SELECT min(ordinal) FROM running WHERE running_chars >= {BUDGET}),
+cut AS (SELECT coalesce((SELECT min(ordinal) FROM running WHERE running_chars >= {budget}),
   (SELECT max(ordinal) FROM docs)) AS last),
 seen AS (SELECT * FROM judged WHERE ordinal <= (SELECT last FROM cut)),
 stay AS (SELECT * FROM routed WHERE ordinal <= (SELECT last FROM cut))"""
-SUMMARY = f"""{CUT}, t AS (SELECT count(*) AS kept_docs, coalesce(sum(chars), 0) AS kept_chars,
+
+
+def summary(budget: int) -> str:
+    return f"""{cut_at(budget)}, t AS (SELECT count(*) AS kept_docs, coalesce(sum(chars), 0) AS kept_chars,
   coalesce(sum(chars) FILTER (split = 'train'), 0) AS train_chars,
   coalesce(sum(chars) FILTER (split = 'val'), 0) AS val_chars FROM stay),
 s AS (SELECT count(*) AS total_docs_seen, count(*) FILTER (reason IS NULL) AS passed_docs FROM seen)
-SELECT CAST({BUDGET} AS BIGINT) AS target_chars, CAST(kept_chars AS BIGINT) AS kept_chars,
+SELECT CAST({budget} AS BIGINT) AS target_chars, CAST(kept_chars AS BIGINT) AS kept_chars,
   CAST(train_chars AS BIGINT) AS train_chars, CAST(val_chars AS BIGINT) AS val_chars,
   total_docs_seen, kept_docs, total_docs_seen - kept_docs AS rejected_docs,
   passed_docs - kept_docs AS duplicate_docs FROM t, s"""
+
+
+CUT = cut_at(WHOLE)
 REJECTED = f"""{CUT} SELECT file_id, title, author, date, reason, round(score, 4) AS score,
   {METRICS}, substr(cleaned, 1, 400) AS sample FROM seen
   WHERE reason IS NOT NULL AND reason <> 'missing_text'"""
@@ -322,11 +331,11 @@ def oracle_sql() -> dict[str, str]:
         "corpus_scan": f"WITH {DOCS} SELECT * FROM docs",
         "row_ordinal": f"WITH {DOCS} SELECT ordinal, file_id FROM docs",
         "jsonl_texts": "SELECT doc_id + 1 AS ordinal, text FROM documents WHERE text <> ''",
-        "limit_docs": f"WITH {DOCS} SELECT ordinal, text FROM docs ORDER BY ordinal LIMIT {LIMIT}",
+        "limit_docs": f"WITH {DOCS} SELECT ordinal, text FROM docs WHERE text <> '' ORDER BY ordinal LIMIT {LIMIT}",
         "corpus_output": CORPUS,
         "kept_report_output": KEPT_REPORT,
         "rejected_report_output": REJECTED,
-        "summary_output": SUMMARY,
+        "summary_output": summary(WHOLE),
         "token_bin_round_trip": byte_ids,
         "token_dtype": rf"""WITH {WORDS}, sizes AS (
           SELECT lang, 260 + count(DISTINCT word) AS vocab_size FROM (
@@ -367,9 +376,10 @@ def oracle_sql() -> dict[str, str]:
         "hash_split": f"{KEPT} SELECT doc_id, split FROM routed",
         "split_totals": f"{KEPT} SELECT split, count(*) AS docs, CAST(sum(chars) AS BIGINT) AS chars FROM routed GROUP BY split",
         "running_chars": f"{KEPT} SELECT ordinal, chars, CAST(sum(chars) OVER (ORDER BY ordinal) AS BIGINT) AS running_chars FROM routed",
-        "char_budget": f"{CUT} SELECT ordinal, chars FROM stay",
+        "char_budget": f"{cut_at(BUDGET)} SELECT ordinal, chars FROM stay",
         "reject_counts": COUNTS,
-        "corpus_summary": SUMMARY,
+        "corpus_summary": summary(WHOLE),
+        "corpus_summary_cut": summary(BUDGET),
         "rejected_report": REJECTED,
         "kept_report": KEPT_REPORT,
         "corpus_size": "SELECT count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents WHERE text <> ''",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from checks.settings import (
     TOP_K,
     VAL_RATIO,
     VOCAB,
+    WHOLE,
     WINDOWS,
 )
 from inkmill import ColumnMap, CorpusConfig
@@ -47,8 +49,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 COLUMNS = ColumnMap(text="text", file_id="doc_id", title="source", author="lang", date=None)
 DEFAULT = CorpusConfig(columns=COLUMNS)
 LOOSE = CorpusConfig(
-    columns=COLUMNS, min_chars=MIN_CHARS, target_chars=BUDGET, val_ratio=VAL_RATIO
+    columns=COLUMNS, min_chars=MIN_CHARS, target_chars=WHOLE, val_ratio=VAL_RATIO
 )
+CUT = replace(LOOSE, target_chars=BUDGET)
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,9 +92,10 @@ def joined(ids: str) -> Column:
 def jsonl_texts(spark: SparkSession, sf: str) -> DataFrame:
     """Documents written as JSON lines to several files, read back in order."""
     docs = documents(spark, sf)
-    last = docs.agg(F.max("ordinal")).first()[0]
+    sizes = docs.select("ordinal", F.coalesce(F.length("text"), F.lit(0)).alias("chars"))
+    quarter = -(-sizes.agg(F.sum("chars")).first()[0] // 4)
     path = staging_path(spark, "jsonl")
-    ordered = corpus_files.in_scan_order(docs, 4, last).sortWithinPartitions("ordinal")
+    ordered = corpus_files.in_scan_order(docs, sizes, quarter).sortWithinPartitions("ordinal")
     ordered.drop("ordinal").write.json(path)
     return src.read_jsonl_texts(spark, path)
 
@@ -264,7 +268,7 @@ def profile_folder(spark: SparkSession, sf: str) -> DataFrame:
     """Files of a folder one by one; files without one clear text column count as failed."""
     result = profile.profile_folder(spark, sf, "*o*.parquet")
     return result.total.select(
-        "files", F.lit(len(result.failed)).alias("failed"), "rows", "chars", "unique_chars"
+        "files", F.lit(result.failed.count()).alias("failed"), "rows", "chars", "unique_chars"
     )
 
 
@@ -439,6 +443,9 @@ def queries() -> dict[str, Query]:
         "char_budget": lambda s, sf: selection.char_budget(kept_chars(s, sf), BUDGET),
         "reject_counts": reject_counts,
         "corpus_summary": lambda s, sf: build(s, sf).summary.drop("reject_counts", "settings"),
+        "corpus_summary_cut": lambda s, sf: build_corpus(documents(s, sf), CUT, False).summary.drop(
+            "reject_counts", "settings"
+        ),
         "rejected_report": lambda s, sf: rejected_columns(build(s, sf, True).rejected_report),
         "kept_report": lambda s, sf: kept_columns(build(s, sf).kept_report),
         "corpus_size": lambda s, sf: src.corpus_size(documents(s, sf)),

@@ -21,6 +21,9 @@ from inkmill.functions.pretokens import (
 )
 from inkmill.staging import spread, stage
 
+# While learning, every symbol is one code point; there are no more of them than this.
+MAX_VOCAB = 1_100_000
+
 
 @dataclass
 class BpeModel:
@@ -59,29 +62,25 @@ def _choose_batch(
 ) -> list[tuple[str, str]]:
     """Merges that can be made at once with the result of making them one by one.
 
-    ``top`` is ranked by count, then by smaller ids. Merging (a, b) changes the counts of
-    pairs that end in a or start with b, and makes pairs no more frequent than one of those.
-    So the ranking holds up to the first pair of that kind; pairs tied with it are left for
-    the next round, since a new pair could come before them.
+    ``top`` is ranked by count, then by smaller ids. Merging (a, b) to m changes the counts of
+    pairs that end in a or start with b; the batch ends at the first of that kind, so all of
+    them rank behind every pair q of the batch. A new pair (z, m) is no more frequent than
+    (z, a), hence than q. If it is as frequent as q, so is (z, a), which then sorts behind q;
+    m has the largest id of all, so (z, m) sorts behind q too. The same holds for (m, w) and
+    (b, w). So no new pair can come before a pair of the batch, nor can one beyond ``top``.
     """
     batch: list[tuple[str, int]] = []
     lefts: set[str] = set()
     rights: set[str] = set()
-    conflict_count = None
     for row in top:
         a, b = row["pair"]
         if b in lefts or a in rights:
-            conflict_count = row["n"]
             break
         batch.append((row["pair"], row["n"]))
         lefts.add(a)
         rights.add(b)
         if a == b:  # overlaps with itself, so anything behind may have changed
             break
-    else:
-        conflict_count = top[-1]["n"]  # the ranking beyond the list is unknown
-    if conflict_count is not None:
-        batch = batch[:1] + [item for item in batch[1:] if item[1] > conflict_count]
 
     made: list[tuple[str, str]] = []
     for pair, count in batch:
@@ -126,6 +125,8 @@ def learn_bpe(
     are written anew to the shared folder, so plans and lineage stay short and a lost
     executor costs one round.
     """
+    if vocab_size > MAX_VOCAB:
+        raise ValueError(f"a vocabulary of more than {MAX_VOCAB} tokens has no code points left")
     model = BpeModel()
     known = {token: i for i, token in enumerate(model.tokens)}
     words, pairs = _stage_tables(word_symbols(counts))

@@ -7,12 +7,13 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from inkmill.functions.cleaning import strip
 from inkmill.sources import files
+from inkmill.staging import stage
 
 # Names tried in this order for the text column.
 TEXT_CANDIDATES = [
@@ -130,17 +131,21 @@ def profile(rows: DataFrame) -> DataFrame:
 
 def global_profile(rows: DataFrame) -> DataFrame:
     """One row over all files; the token estimate comes from the total, not from floors."""
-    files = profile_files(rows)
+    return _global_row(profile_files(rows), file_alphabet(rows))
+
+
+def _global_row(files: DataFrame, alphabet: DataFrame) -> DataFrame:
+    """Sums over the rows of ``profile_files`` and the characters of ``file_alphabet``."""
     first = F.min(F.when(F.col("sample") != "", F.struct("file", "sample")))
     totals = files.agg(
         F.count("*").alias("files"),
-        F.sum("rows").alias("rows"),
-        F.sum("non_empty_docs").alias("non_empty_docs"),
-        F.sum("chars").alias("chars"),
-        F.floor(F.sum("chars") / 4).alias("bpe_estimate"),
+        _sum("rows").alias("rows"),
+        _sum("non_empty_docs").alias("non_empty_docs"),
+        _sum("chars").alias("chars"),
+        F.floor(_sum("chars") / 4).alias("bpe_estimate"),
         F.coalesce(first["sample"], F.lit("")).alias("sample"),
     )
-    alphabet = file_alphabet(rows).agg(F.countDistinct("character").alias("unique_chars"))
+    alphabet = alphabet.agg(F.countDistinct("character").alias("unique_chars"))
     return (
         totals.withColumn("_one", F.lit(1))
         .join(alphabet.withColumn("_one", F.lit(1)), "_one")
@@ -148,12 +153,18 @@ def global_profile(rows: DataFrame) -> DataFrame:
     )
 
 
+def _sum(column: str) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0))
+
+
 @dataclass
 class FolderProfile:
+    """``files``: one row per good file, with its ``text_col``; ``failed``: file and error."""
+
     files: DataFrame
     total: DataFrame
     processed: int
-    failed: list[str]
+    failed: DataFrame
 
 
 def profile_folder(
@@ -162,21 +173,23 @@ def profile_folder(
     """Profile a folder in which single files may be unreadable or lack a text column.
 
     Tasks look at the footers, file by file; files that share text column and type are then
-    read by one job. A file that fails is reported and does not stop the others.
+    read by one job. A file that fails is reported and does not stop the others. A file of
+    which fewer rows could be read than its footer lists has failed too, and none of its rows
+    count. A file without rows is a good one.
     """
     listing = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path")
     )
-    looked_at = (
-        listing.repartition(spark.sparkContext.defaultParallelism)
-        .mapInArrow(_text_columns(text_column), "path string, text_column string, type string")
-        .collect()  # names only, one row per file
+    footers = listing.repartition(spark.sparkContext.defaultParallelism).mapInArrow(
+        _text_columns(text_column),
+        "path string, text_col string, type string, n_rows long, error string",
     )
-    failed = sorted(row["path"] for row in looked_at if row["text_column"] is None)
+    name = F.element_at(F.split("path", "/"), -1).alias("file")
+    footers = stage(footers.select(name, "*"), "footers")
     groups: dict[tuple, list[str]] = {}
-    for row in looked_at:
-        if row["text_column"] is not None:
-            groups.setdefault((row["text_column"], row["type"]), []).append(row["path"])
+    # The paths a reader is given: one string per file, as in Spark's own listing.
+    for row in footers.where("error IS NULL").select("path", "text_col", "type").toLocalIterator():
+        groups.setdefault((row["text_col"], row["type"]), []).append(row["path"])
     rows = None
     for (column, _), members in groups.items():
         part = spark.read.option("ignoreCorruptFiles", "true").parquet(*sorted(members))
@@ -184,36 +197,54 @@ def profile_folder(
         rows = part if rows is None else rows.unionByName(part)
     if rows is None:
         raise FileNotFoundError(f"no readable Parquet file matches {glob!r} in {folder}")
-    processed = len(looked_at) - len(failed)
-    return FolderProfile(profile(rows), global_profile(rows), processed, failed)
+    read = stage(profile_files(rows), "file-profiles")
+    alphabet = stage(file_alphabet(rows), "alphabet")
+    sizes = alphabet.groupBy("file").agg(F.count("*").alias("unique_chars"))
+    joined = footers.join(read, "file", "left").join(sizes, "file", "left")
+    seen = F.coalesce("rows", F.lit(0))
+    short = F.concat(F.lit("read "), seen.cast("string"), F.lit(" of "), F.col("n_rows").cast("string"), F.lit(" rows"))
+    error = F.coalesce("error", F.when(seen != F.col("n_rows"), short))
+    joined = joined.withColumn("error", error)
+    counts = ["rows", "non_empty_docs", "chars", "char_tokens", "bpe_estimate", "unique_chars"]
+    good = joined.where("error IS NULL").select(
+        "file",
+        "text_col",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("sample", F.lit("")).alias("sample"),
+    )
+    good = stage(good, "good-files")
+    failed = stage(joined.where("error IS NOT NULL").select("file", "error"), "failed-files")
+    total = _global_row(good, alphabet.join(good.select("file"), "file", "left_semi"))
+    return FolderProfile(good, total, good.count(), failed)
 
 
 def _text_columns(forced: str | None):
-    """Footer check of a batch of files: text column and type, or null for a bad file."""
+    """Footer check of a batch of files: text column, type, rows; or the error of a bad file."""
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            paths = batch.column("path").to_pylist()
-            names, types = [], []
-            for path in paths:
+            found = []
+            for path in batch.column("path").to_pylist():
+                system, inner = files.resolve(path)  # an unknown kind of store is no bad file
                 try:
-                    system, inner = files.resolve(path)
                     with system.open_input_file(inner) as source:
-                        schema = pq.read_schema(source)
+                        footer = pq.ParquetFile(source)
+                        schema, n_rows = footer.schema_arrow, footer.metadata.num_rows
                     strings = [
                         f.name
                         for f in schema
                         if pa.types.is_string(f.type) or pa.types.is_large_string(f.type)
                     ]
                     name = choose_text_column(schema.names, strings, forced)
-                    found = (name, str(schema.field(name).type))
-                except Exception:  # unreadable footer or no clear text column
-                    found = (None, None)
-                names.append(found[0])
-                types.append(found[1])
+                    found.append((path, name, str(schema.field(name).type), n_rows, None))
+                except (pa.ArrowException, OSError, ValueError) as error:
+                    # unreadable footer or no clear text column
+                    found.append((path, None, None, None, f"{type(error).__name__}: {error}"[:500]))
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.string())
+            columns = zip(*found) if found else [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, pa.string()) for column in (paths, names, types)],
-                names=["path", "text_column", "type"],
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                names=["path", "text_col", "type", "n_rows", "error"],
             )
 
     return look

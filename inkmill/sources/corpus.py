@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from inkmill.config import ColumnMap
 from inkmill.functions.cleaning import strip
 from inkmill.operators.ordering import scan_offsets, with_ordinal
+from inkmill.operators.selection import budget_cut
 from inkmill.staging import spread
 
 
@@ -103,8 +104,16 @@ def count_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def limit_docs(docs: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` documents in scan order, found by per-task top-n."""
-    return docs.orderBy("ordinal").limit(n)
+    """The first ``n`` documents with a non-empty text in scan order.
+
+    Only ordinals are ranked, block by block; texts stay where they are, cut by the ordinal of
+    the n-th valid one.
+    """
+    valid = docs.where(F.col("text") != "")
+    cut = budget_cut(valid.select("ordinal", F.lit(1).alias("chars")), n)
+    if n <= 0:
+        return valid.limit(0)
+    return valid if cut is None else valid.where(F.col("ordinal") <= cut)
 
 
 def corpus_size(docs: DataFrame) -> DataFrame:

@@ -3,16 +3,25 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyarrow import fs
 
+# Hadoop's names of stores that Arrow knows by another one.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
 
 def resolve(path: str) -> tuple[fs.FileSystem, str]:
-    if re.match(r"^[a-z0-9+]+:/", path):
-        if path.startswith("file:") and not path.startswith("file://"):
-            path = path.replace("file:", "file://", 1)
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    """File system and inner path. ``dbfs:/x`` is the mounted folder ``/dbfs/x``."""
+    found = re.match(r"^([a-zA-Z][a-zA-Z0-9+.-]*):(/.*)$", path)
+    if not found:
+        return fs.LocalFileSystem(), path
+    scheme, rest = found[1].lower(), found[2]
+    if scheme == "dbfs":
+        return fs.LocalFileSystem(), "/dbfs/" + rest.lstrip("/")
+    if scheme == "file":
+        rest = "//" + re.sub(r"^//[^/]*(?=/)", "", rest)
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
 def write_bytes(path: str, content: bytes) -> None:
@@ -31,3 +40,10 @@ def read_bytes(path: str) -> bytes:
 def exists(path: str) -> bool:
     system, inner = resolve(path)
     return system.get_file_info(inner).type != fs.FileType.NotFound
+
+
+def delete(paths: Iterable[str]) -> None:
+    for path in paths:
+        if exists(path):
+            system, inner = resolve(path)
+            system.delete_file(inner)

@@ -63,7 +63,7 @@ class TokenBinSource(DataSource):
         return TokenBinReader(dict(self.options), schema)
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return TokenBinWriter(dict(self.options))
+        return TokenBinWriter(dict(self.options), overwrite)
 
 
 @dataclass
@@ -124,10 +124,18 @@ class Shards(WriterCommitMessage):
 
 
 class TokenBinWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict):
+    """A folder holds one stream: a second append raises, overwriting replaces the first."""
+
+    def __init__(self, options: dict, overwrite: bool = False):
         self.path = options["path"].rstrip("/")
         self.dtype_name = options.get("dtype", "")
         self.dtype = numpy_dtype(self.dtype_name)
+        self.old: list[str] = []
+        manifest = f"{self.path}/{MANIFEST}"
+        if files.exists(manifest):
+            if not overwrite:
+                raise FileExistsError(f"{self.path} already holds a token stream")
+            self.old = [s["file"] for s in json.loads(files.read_bytes(manifest))["shards"]]
 
     def write(self, iterator) -> Shards:
         """Append documents to a shard as long as each starts where the last one ended."""
@@ -167,9 +175,11 @@ class TokenBinWriter(DataSourceArrowWriter):
             end += shard["tokens"]
         manifest = {"dtype": self.dtype_name, "tokens": end, "shards": shards}
         files.write_bytes(f"{self.path}/{MANIFEST}", json.dumps(manifest, indent=2).encode())
+        files.delete(f"{self.path}/{name}" for name in self.old)
 
     def abort(self, messages) -> None:
-        """Nothing to undo: shards without a manifest entry are never read."""
+        """Delete this job's shards; without a manifest entry they were never read."""
+        files.delete(f"{self.path}/{s['file']}" for m in messages if m for s in m.shards)
 
 
 def register(spark: SparkSession) -> None:

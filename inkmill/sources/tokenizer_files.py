@@ -14,9 +14,6 @@ from inkmill.functions.pretokens import SPECIAL_TOKENS, byte_chars
 from inkmill.operators.bpe import BpeModel
 from inkmill.sources import files
 
-# Loading more than this into one process is refused.
-MAX_VOCAB = 2_000_000
-
 
 def display(token: bytes) -> str:
     """A token as written in vocabulary files: one printable character per byte."""
@@ -50,8 +47,6 @@ def save_tables(spark: SparkSession, model: BpeModel, folder: str) -> None:
 def load_tables(spark: SparkSession, folder: str) -> BpeModel:
     vocab = spark.read.parquet(f"{folder}/vocab")
     merges = spark.read.parquet(f"{folder}/merges")
-    if max(vocab.count(), merges.count()) > MAX_VOCAB:
-        raise ValueError(f"more than {MAX_VOCAB} tokens in {folder}")
     listed = merges.orderBy("rank").collect()
     return BpeModel(
         merges=[(r["left_id"], r["right_id"], r["new_id"]) for r in listed],
@@ -116,8 +111,6 @@ def load_files(folder: str) -> BpeModel:
     """A model from ``vocab.json`` and ``merges.txt``."""
     folder = folder.rstrip("/")
     vocab = json.loads(files.read_bytes(f"{folder}/vocab.json"))
-    if len(vocab) > MAX_VOCAB:
-        raise ValueError(f"more than {MAX_VOCAB} tokens in {folder}")
     byte_of = {c: b for b, c in enumerate(byte_chars())}
     tokens = [
         s.encode() if s in SPECIAL_TOKENS else bytes(byte_of[c] for c in s)

@@ -1,3 +1,4 @@
+import dataclasses
 import hashlib
 import json
 import os
@@ -5,11 +6,13 @@ import os
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from inkmill import ColumnMap, CorpusConfig
 from inkmill.operators import ordering, selection
 from inkmill.operators.ordering import running_total_by_range, with_running_total
 from inkmill.plans import corpus_build
+from inkmill.sources import corpus_files
 from inkmill.plans.corpus_build import build_corpus
 from inkmill.sources import corpus as src
 from inkmill.sources.corpus_files import write_corpus
@@ -162,6 +165,35 @@ def test_written_corpus(spark, folder, texts):
     assert [d["text"] for d in docs] == [w["text"] for w in want if w["split"] == "train"]
 
 
+@pytest.mark.parametrize("target", [10**9, 20_000])
+def test_files_are_about_equally_large(spark, folder, monkeypatch, target):
+    texts = [book(i % 50) + str(i) for i in range(200)] + ["too short"] * 200
+    write_files(folder, texts)
+    cfg = dataclasses.replace(CFG, target_chars=target)
+    result = build_corpus(src.read_corpus(spark, folder), cfg)
+    kept = result.summary.first()["kept_chars"]
+    size = max(len(t) for t in texts) * 3
+    monkeypatch.setattr(corpus_files, "CHARS_PER_FILE", size)
+    sizes = result.kept_identity.select("ordinal", "chars")
+    laid = corpus_files.in_scan_order(result.corpus, sizes, size)
+    files = laid.groupBy(F.spark_partition_id().alias("file")).agg(
+        F.sum("chars").alias("chars"), F.min("ordinal").alias("first"), F.max("ordinal").alias("last")
+    )
+    rows = files.orderBy("file").collect()
+    assert sum(r["chars"] for r in rows) == kept
+    assert all(r["chars"] <= 2 * size for r in rows)
+    assert len(rows) >= kept / size / 2
+    assert all(a["last"] < b["first"] for a, b in zip(rows, rows[1:]))
+
+
+def test_limit_counts_texts_only(spark):
+    rows = [(i + 1, t) for i, t in enumerate([None, "a", "", "b", None, "c", "d"])]
+    docs = spark.createDataFrame(rows, "ordinal long, text string")
+    for n, want in ((0, []), (1, ["a"]), (3, ["a", "b", "c"]), (9, ["a", "b", "c", "d"])):
+        got = src.limit_docs(docs, n).orderBy("ordinal").collect()
+        assert [r["text"] for r in got] == want
+
+
 def test_jsonl_reader(spark, folder):
     path = f"{folder}/a.jsonl"
     rows = ['{"text": "one"}', "", "  　", '{"x": 1}', '{"text": 5}', '{"text": ""}', '{"text": null}',
@@ -184,7 +216,7 @@ def test_jsonl_order_over_many_splits(spark, folder):
     try:
         docs = src.read_jsonl_texts(spark, folder)
         got = [r["text"].rsplit("-", 1)[0] for r in docs.orderBy("ordinal").collect()]
-        first = [r["text"].rsplit("-", 1)[0] for r in src.limit_docs(docs, 501).collect()]
+        first = [r["text"].rsplit("-", 1)[0] for r in src.limit_docs(docs, 501).orderBy("ordinal").collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     want = [f"{f}-{i}" for f in range(3) for i in range(500)]

@@ -43,7 +43,35 @@ def test_bad_files_are_counted(spark, folder):
     pq.write_table(pa.table({"x": ["q"], "y": ["r"]}), f"{folder}/b.parquet")
     pq.write_table(pa.table({"body": ["de"]}), f"{folder}/c.parquet")
     open(f"{folder}/d.parquet", "wb").write(b"not parquet")
+    pq.write_table(pa.table({"text": pa.array([], pa.string())}), f"{folder}/e.parquet")
     result = p.profile_folder(spark, folder)
-    assert sorted(path.rsplit("/", 1)[1] for path in result.failed) == ["b.parquet", "d.parquet"]
-    assert result.processed == 2
-    assert result.total.first()["chars"] == 5
+    failed = {r["file"]: r["error"] for r in result.failed.collect()}
+    assert sorted(failed) == ["b.parquet", "d.parquet"]
+    assert "several string columns" in failed["b.parquet"]
+    assert result.processed == 3
+    files = {r["file"]: r for r in result.files.collect()}
+    assert sorted(files) == ["a.parquet", "c.parquet", "e.parquet"]
+    assert files["c.parquet"]["text_col"] == "body"
+    assert (files["e.parquet"]["rows"], files["e.parquet"]["chars"]) == (0, 0)
+    total = result.total.first()
+    assert (total["files"], total["rows"], total["chars"], total["unique_chars"]) == (3, 2, 5, 5)
+
+
+def test_only_empty_files(spark, folder):
+    pq.write_table(pa.table({"text": pa.array([], pa.string())}), f"{folder}/a.parquet")
+    total = p.profile_folder(spark, folder).total.first()
+    assert (total["files"], total["rows"], total["chars"], total["bpe_estimate"]) == (1, 0, 0, 0)
+
+
+def test_half_read_files_have_failed(spark, folder):
+    words = [f"text number {i} " * 10 for i in range(4000)]
+    pq.write_table(pa.table({"text": words}), f"{folder}/a.parquet", compression="none", use_dictionary=False, data_page_size=4096)
+    pq.write_table(pa.table({"text": words}), f"{folder}/b.parquet", compression="none", use_dictionary=False, data_page_size=4096)
+    raw = bytearray(open(f"{folder}/b.parquet", "rb").read())
+    middle = len(raw) // 2
+    raw[middle : middle + 20_000] = b"\xff" * 20_000
+    open(f"{folder}/b.parquet", "wb").write(raw)
+    result = p.profile_folder(spark, folder)
+    assert [r["file"] for r in result.failed.collect()] == ["b.parquet"]
+    assert result.processed == 1
+    assert result.total.first()["rows"] == 4000

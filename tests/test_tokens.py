@@ -163,6 +163,56 @@ def test_offsets_and_bin_round_trip(spark, folder):
         assert [t for r in back for t in r["ids"]] == stream
 
 
+def test_second_append_raises_and_overwrite_replaces(spark, folder):
+    import os
+
+    tokenbin.register(spark)
+    path = f"{folder}/stream"
+
+    def write(ids, mode):
+        df = spark.createDataFrame([(0, ids)], "start_offset long, ids array<int>")
+        df.write.format("tokenbin").option("dtype", "uint16").mode(mode).save(path)
+
+    def read():
+        return [t for r in spark.read.format("tokenbin").load(path).collect() for t in r["ids"]]
+
+    write([1, 2, 3], "append")
+    with pytest.raises(Exception, match="already holds"):
+        write([4], "append")
+    assert read() == [1, 2, 3]
+    write([5, 6], "overwrite")
+    assert read() == [5, 6]
+    assert sum(n.endswith(".bin") for n in os.listdir(path)) == 1
+
+
+@pytest.mark.parametrize(
+    "path, kind, inner",
+    [
+        ("/a/b", "local", "/a/b"),
+        ("file:/a/b", "local", "/a/b"),
+        ("file:///a/b", "local", "/a/b"),
+        ("dbfs:/a/b", "local", "/dbfs/a/b"),
+        ("s3a://bucket/k", "s3", "bucket/k"),
+    ],
+)
+def test_paths(path, kind, inner):
+    from inkmill.sources import files
+
+    try:
+        system, found = files.resolve(path)
+    except OSError:  # a remote store that cannot be asked for its region here
+        assert kind != "local"
+        return
+    assert (system.type_name, found) == (kind, inner)
+
+
+def test_unknown_kind_of_store():
+    from inkmill.sources import files
+
+    with pytest.raises(Exception, match="Unrecognized"):
+        files.resolve("gopher://host/x")
+
+
 def test_bare_bin_file_and_errors(spark, folder):
     import numpy as np
 
