@@ -43,14 +43,14 @@ def encode_corpus(
 ) -> TokenDataset:
     """Encode documents (ordinal, split, text) once and place them in their split's stream.
 
-    The ids are shuffled once, into blocks of adjacent documents; the binary sink writes the
-    blocks as they are.
+    The ids are shuffled once, into blocks of adjacent documents, and written with their
+    offsets; sinks, windows and evaluation read that table.
     """
     tokens = tokenize(docs, model, with_eos).select("ordinal", "split", "ids", "n_tokens")
     tokens = stage(tokens, "tokens")
     eos = eos_id(model) if with_eos else None
     meta = dataset_meta(tokens, model.vocab_size, block_size, eos, paths or {})
-    return TokenDataset(with_offsets(tokens, keys=["split"]), meta, model)
+    return TokenDataset(stage(with_offsets(tokens, keys=["split"]), "stream"), meta, model)
 
 
 def write_token_bins(dataset: TokenDataset, folder: str) -> None:
