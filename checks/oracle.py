@@ -12,6 +12,7 @@ from checks.settings import (
     LIMIT,
     MERGES,
     MIN_CHARS,
+    SEED,
     STRIDE,
     TEMPERATURE,
     TOP_K,
@@ -20,6 +21,7 @@ from checks.settings import (
     WHOLE,
     WINDOWS,
 )
+from checks.worn import EMPTY, LOST, gaps_sql, listed_sql, worn_sql
 
 
 def _ranges(code_points) -> str:
@@ -103,12 +105,15 @@ def no_noise(t):
 
 DOCS = """docs AS (SELECT doc_id + 1 AS ordinal, CAST(doc_id AS VARCHAR) AS file_id,
   source AS title, lang AS author, CAST(NULL AS VARCHAR) AS date, text FROM documents)"""
+_WORN = gaps_sql(worn_sql(listed_sql("text", "doc_id")), "doc_id")
+WORN_DOCS = DOCS.replace("text FROM", f"{_WORN} AS text FROM")
 NORMAL = f"normal AS (SELECT * EXCLUDE (text), {normal('text')} AS body FROM docs)"
 LINED = f"lined AS (SELECT * EXCLUDE (body), {no_noise('body')} AS body FROM normal)"
 CLEAN = (
     f"clean AS (SELECT * EXCLUDE (body), {strip(spaces(blank_lines('body')))} AS cleaned FROM lined)"
 )
 CLEANING = ", ".join([DOCS, NORMAL, LINED, CLEAN])
+WORN_CLEANING = ", ".join([WORN_DOCS, NORMAL, LINED, CLEAN])
 
 # --- metrics ------------------------------------------------------------------------------
 
@@ -164,9 +169,9 @@ SCORE = """least(chars / 20000.0::DOUBLE, 2.5::DOUBLE) + 3.0::DOUBLE * alpha_rat
   - CASE WHEN blank_line_ratio > 0.35 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END"""
 
 
-def judged(min_chars: int, min_alpha=0.55, max_weird=0.08, min_score=1.25) -> str:
+def judged(min_chars: int, min_alpha=0.55, max_weird=0.08, min_score=1.25, cleaning=CLEANING) -> str:
     """CTEs ending in ``judged`` (with score and reason) and ``passed`` (with content hash)."""
-    return f"""{CLEANING}, {metrics('clean', 'cleaned')},
+    return f"""{cleaning}, {metrics('clean', 'cleaned')},
 scored AS (SELECT *, {SCORE} AS score FROM measured),
 judged AS (SELECT *, CASE WHEN cleaned IS NULL THEN 'missing_text'
   WHEN chars < {min_chars} THEN 'too_short'
@@ -272,16 +277,21 @@ def _ids(symbols: str) -> str:
     )
 
 
-WINDOW = f"""starts AS (SELECT w AS window_id, (w * {STRIDE}) % (total - {BLOCK} - 1) AS start, stream
+def window(start: str) -> str:
+    return f"""starts AS (SELECT w AS window_id, {start} % (total - {BLOCK} - 1) AS start, stream
   FROM streams, (SELECT unnest(range({WINDOWS})) AS w) WHERE split = 'val'),
 windows AS (SELECT window_id, start, substr(stream, start + 1, {BLOCK}) AS x,
   substr(stream, start + 2, {BLOCK}) AS y FROM starts)"""
+
+
+WINDOW = window(f"(w * {STRIDE})")
+RANDOM = window(f"('0x' || substr(md5('{SEED}|' || w), 1, 15))::BIGINT")
 PAIRS = """train_ids AS (SELECT unnest(chars) AS c, unnest(range(len(chars))) AS pos FROM (
   SELECT string_split(stream, '') AS chars FROM streams WHERE split = 'train')),
 train_pairs AS (SELECT prev, next, count(*) AS n FROM (
   SELECT unicode(c) - 256 AS prev, unicode(lead(c) OVER (ORDER BY pos)) - 256 AS next FROM train_ids)
   WHERE next IS NOT NULL GROUP BY prev, next)"""
-SCORED = f"""{WINDOW}, {PAIRS},
+COMPARED = f"""{PAIRS},
 targets AS (SELECT prev, next, count(*) AS n FROM (
   SELECT unicode(unnest(string_split(x, ''))) - 256 AS prev,
     unicode(unnest(string_split(y, ''))) - 256 AS next FROM windows) GROUP BY prev, next),
@@ -294,14 +304,20 @@ scored AS (SELECT t.prev, t.next, t.n,
   coalesce(l.predicted, (SELECT next FROM fallback)) AS predicted
   FROM targets t LEFT JOIN train_pairs p USING (prev, next) LEFT JOIN contexts c USING (prev)
   LEFT JOIN leaders l USING (prev))"""
+SCORED = f"{WINDOW}, {COMPARED}"
+REPORT = f"""totals AS (SELECT CAST(sum(n) AS BIGINT) AS tokens, sum(-logprob * n) / sum(n) AS loss,
+    sum(n) FILTER (predicted = next) AS correct FROM scored)
+  SELECT tokens, round(loss, 7) AS loss, round(exp(loss), 6) AS perplexity,
+    round({VOCAB} / exp(loss), 6) AS gain_over_uniform, round(100.0 * correct / tokens, 6) AS accuracy FROM totals"""
 TOKENS = f"WITH RECURSIVE {ENCODED}"
 N_DOCS = "(SELECT count(*) FROM documents)"
 
 
 def oracle_sql() -> dict[str, str]:
-    each = f"WITH {DOCS} SELECT ordinal, {{}} AS text FROM docs"
-    page = "SELECT page_id, {} AS text FROM pages"
-    line = f"(SELECT doc_id, unnest(string_split(text, {NL})) AS line FROM documents)"
+    each = f"WITH {WORN_DOCS} SELECT ordinal, {{}} AS text FROM docs"
+    html = gaps_sql(worn_sql("html"), "page_id")
+    page = f"SELECT page_id, {{}} AS text FROM (SELECT page_id, {html} AS html FROM pages)"
+    line = f"(SELECT doc_id, unnest(string_split({worn_sql('text')}, {NL})) AS line FROM documents)"
     byte_ids = f"""WITH bytes AS (SELECT doc_id, unnest(list_append(list_transform(
       regexp_extract_all(hex(encode(nfc_normalize(text))), '..'), lambda h: ('0x' || h)::INT), -1)) AS b,
       unnest(range(octet_length(encode(nfc_normalize(text))) + 1)) AS pos FROM documents),
@@ -315,6 +331,15 @@ def oracle_sql() -> dict[str, str]:
       CAST(sum(length(text)) FILTER ({strip('text')} <> '') AS BIGINT) AS char_tokens,
       CAST(sum(length(text)) FILTER ({strip('text')} <> '') // 4 AS BIGINT) AS bpe_estimate,
       arg_min(substr(text, 1, 300), doc_id) FILTER ({strip('text')} <> '') AS sample FROM documents"""
+    columns = {"documents": "text", "benchmark": "text", "conversations": "text", "region": "r_name", "nation": "n_name"}
+    detected = " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{c}' AS text_column, count(*) AS rows,
+          CAST(sum(length({c})) AS BIGINT) AS chars FROM {t}"""
+        for t, c in columns.items()
+    ) + "".join(
+        f""" UNION ALL SELECT '{t}', CAST(NULL AS VARCHAR), count(*), CAST(NULL AS BIGINT) FROM {t}"""
+        for t in ("labels", "part")
+    )
     alphabet = (
         f"SELECT count(DISTINCT c) AS unique_chars FROM (SELECT unnest(string_split(text, '')) AS c "
         f"FROM documents WHERE {strip('text')} <> '')"
@@ -358,15 +383,16 @@ def oracle_sql() -> dict[str, str]:
         "symbol_soup_lines": f"""SELECT doc_id, CAST(count(*) AS INT) AS lines,
           CAST(count(*) FILTER ({soup('line')}) AS INT) AS soup_lines FROM {line} GROUP BY doc_id""",
         "drop_noise_lines": each.format(no_noise("text")),
-        "clean_for_model": f"WITH {CLEANING} SELECT ordinal, cleaned FROM clean",
+        "clean_for_model": f"WITH {WORN_CLEANING} SELECT ordinal, cleaned FROM clean",
         # quality
         "text_metrics": f"WITH {CLEANING}, {metrics('clean', 'cleaned')} SELECT ordinal, {METRICS} FROM measured",
-        "text_metrics_raw": f"WITH {DOCS}, {metrics('docs', 'text')} SELECT ordinal, {METRICS} FROM measured",
+        "text_metrics_raw": f"""WITH {WORN_DOCS}, given AS (SELECT * FROM docs WHERE text IS NOT NULL),
+          {metrics('given', 'text')} SELECT ordinal, {METRICS} FROM measured""",
         "text_metrics_pages": f"""WITH pages_in AS (SELECT page_id AS ordinal, html FROM pages),
           {metrics('pages_in', 'html')} SELECT ordinal, {METRICS} FROM measured""",
         "quality_score": f"WITH {judged(2000)} SELECT ordinal, score, round(score, 4) AS rounded_score FROM judged",
-        "reject_reason": f"WITH {judged(2000)} SELECT ordinal, reason FROM judged",
-        "reject_reason_production": f"WITH {judged(2500, 0.58, 0.06, 1.5)} SELECT ordinal, reason FROM judged",
+        "reject_reason": f"WITH {judged(2000, cleaning=WORN_CLEANING)} SELECT ordinal, reason FROM judged",
+        "reject_reason_production": f"WITH {judged(2500, 0.58, 0.06, 1.5, WORN_CLEANING)} SELECT ordinal, reason FROM judged",
         # selection
         "kept_documents": f"WITH {judged(MIN_CHARS)} SELECT ordinal, chars FROM passed",
         "content_hash": f"WITH {judged(MIN_CHARS)} SELECT ordinal, content_hash FROM passed",
@@ -390,6 +416,13 @@ def oracle_sql() -> dict[str, str]:
         "alphabet": f"""SELECT DISTINCT 'documents.parquet' AS file, c AS character FROM (
           SELECT unnest(string_split(text, '')) AS c FROM documents WHERE {strip('text')} <> '')""",
         "global_profile": both,
+        "text_column_detection": detected,
+        "profile_folder": f"""WITH readable AS (SELECT text FROM documents UNION ALL SELECT text FROM conversations
+            UNION ALL SELECT r_name FROM region UNION ALL SELECT n_name FROM nation)
+          SELECT CAST(4 AS BIGINT) AS files, CAST(2 AS BIGINT) AS failed, count(*) AS rows,
+            CAST(sum(length(text)) FILTER ({strip('text')} <> '') AS BIGINT) AS chars,
+            (SELECT count(DISTINCT c) FROM (SELECT unnest(string_split(text, '')) AS c FROM readable
+              WHERE {strip('text')} <> '')) AS unique_chars FROM readable""",
         # tokenizer
         "pretokens": f"WITH {WORDS} SELECT ordinal, CAST(len(parts) AS INT) AS n_words, md5(array_to_string(parts, '|')) AS words_md5 FROM spoken",
         "word_counts": f"WITH {WORDS} SELECT word, freq FROM words",
@@ -411,14 +444,17 @@ def oracle_sql() -> dict[str, str]:
           UNION ALL SELECT * FROM (VALUES (0, '5B5041445D'), (1, '5B554E4B5D'), (2, '5B424F535D'), (3, '5B454F535D'))""",
         "encode": f"{TOKENS} SELECT ordinal, {_ids('symbols')} AS ids FROM encoded",
         "decode": f"SELECT doc_id + 1 AS ordinal, nfc_normalize(text) AS text FROM documents",
-        "round_trip": f"SELECT count(*) AS documents, CAST(0 AS BIGINT) AS mismatches FROM documents",
+        "round_trip": "SELECT count(*) AS documents, count(*) FILTER (doc_id % 10 = 0) AS mismatches FROM documents",
         "tokenizer_report": f"""WITH RECURSIVE {BPE} SELECT 'BPE' AS type, CAST(260 + (SELECT count(*) FROM merges) AS INT) AS vocab_size,
           2 AS min_frequency, count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents""",
         # token dataset
         "append_eos": f"{TOKENS} SELECT ordinal, {_ids('symbols')} AS ids, CAST(n_tokens AS INT) AS n_tokens FROM tokens",
-        "encode_stats": f"""{TOKENS} SELECT (SELECT count(*) FROM documents) AS docs_seen, count(*) AS docs_written, CAST(0 AS BIGINT) AS empty_docs,
-          (SELECT CAST(sum(length(text)) AS BIGINT) FROM documents) AS characters,
-          CAST(sum(n_tokens) AS BIGINT) AS tokens FROM tokens""",
+        "encode_stats": f"""{TOKENS}, gapped AS (SELECT t.n_tokens - 1 AS n, length(d.text) AS chars
+          FROM documents d JOIN tokens t ON t.ordinal = d.doc_id + 1
+          WHERE d.text <> '' AND d.doc_id % {LOST} <> 0 AND d.doc_id % {EMPTY} <> 1)
+          SELECT (SELECT count(*) FROM documents) AS docs_seen, count(*) AS docs_written,
+          count(*) FILTER (n = 0) AS empty_docs, CAST(sum(chars) AS BIGINT) AS characters,
+          CAST(sum(n) AS BIGINT) AS tokens FROM gapped""",
         "token_offsets": f"{TOKENS} SELECT split, ordinal, CAST(n_tokens AS INT) AS n_tokens, start_offset FROM placed_tokens",
         "token_windows": f"{TOKENS}, {WINDOW} SELECT window_id, start, {_ids('x')} AS x, {_ids('y')} AS y FROM windows",
         "dataset_meta": f"""{TOKENS} SELECT {VOCAB} AS vocab_size, 'uint16' AS dtype, {BLOCK} AS block_size,
@@ -429,10 +465,8 @@ def oracle_sql() -> dict[str, str]:
         # evaluation
         "bigram_counts": f"{TOKENS}, {PAIRS} SELECT prev, next, n FROM train_pairs",
         "bigram_scores": f"{TOKENS}, {SCORED} SELECT prev, next, n, round(logprob, 9) AS logprob, predicted FROM scored",
-        "evaluation_report": f"""{TOKENS}, {SCORED}, totals AS (SELECT CAST(sum(n) AS BIGINT) AS tokens,
-            sum(-logprob * n) / sum(n) AS loss, sum(n) FILTER (predicted = next) AS correct FROM scored)
-          SELECT tokens, round(loss, 7) AS loss, round(exp(loss), 6) AS perplexity,
-            round({VOCAB} / exp(loss), 6) AS gain_over_uniform, round(100.0 * correct / tokens, 6) AS accuracy FROM totals""",
+        "evaluation_report": f"{TOKENS}, {SCORED}, {REPORT}",
+        "random_window_evaluation": f"{TOKENS}, {RANDOM}, {COMPARED}, {REPORT}",
         "top_k_distribution": f"""{TOKENS}, {PAIRS}, ranked AS (SELECT prev AS context, next AS token,
             ln(n) / {TEMPERATURE} AS logit, rank() OVER (PARTITION BY prev ORDER BY n DESC) AS place FROM train_pairs)
           SELECT context, token, round(exp(logit) / sum(exp(logit)) OVER w, 9) AS probability

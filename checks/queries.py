@@ -14,6 +14,7 @@ from checks.settings import (
     BUDGET,
     LIMIT,
     MIN_CHARS,
+    SEED,
     STRIDE,
     TEMPERATURE,
     TOP_K,
@@ -22,6 +23,7 @@ from checks.settings import (
     WHOLE,
     WINDOWS,
 )
+from checks.worn import gaps, listed, worn
 from inkmill import ColumnMap, CorpusConfig
 from inkmill.functions import cleaning
 from inkmill.functions.pretokens import pretokens, symbol_id
@@ -58,22 +60,36 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return src.read_corpus(spark, sf, "documents.parquet", COLUMNS)
 
 
+def worn_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with defects, some lists of words, some null and some empty."""
+    key = F.col("file_id").cast("long")
+    text = gaps(worn(listed(F.col("text"), key)), key)
+    return documents(spark, sf).withColumn("text", text)
+
+
 def scored(spark: SparkSession, sf: str, cfg: CorpusConfig = LOOSE) -> DataFrame:
     return selection.score_documents(documents(spark, sf), cfg)
 
 
+def judged(spark: SparkSession, sf: str, cfg: CorpusConfig) -> DataFrame:
+    return selection.score_documents(worn_documents(spark, sf), cfg).select("ordinal", "reason")
+
+
 def build(spark: SparkSession, sf: str, with_text: bool = False) -> CorpusBuild:
     return build_corpus(documents(spark, sf), LOOSE, with_text)
 
 
 def each_document(step: Callable[[Column], Column]) -> Query:
-    return lambda spark, sf: documents(spark, sf).select("ordinal", step(F.col("text")).alias("text"))
+    return lambda spark, sf: worn_documents(spark, sf).select(
+        "ordinal", step(F.col("text")).alias("text")
+    )
 
 
 def each_page(step: Callable[[Column], Column]) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         pages = spread(spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "html"), "page_id")
-        return pages.select("page_id", step(F.col("html")).alias("text"))
+        html = gaps(worn(F.col("html")), F.col("page_id"))
+        return pages.select("page_id", step(html).alias("text"))
 
     return run
 
@@ -199,7 +215,7 @@ def dtype_by_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
 def line_flags(flag: Callable[[Column], Column], name: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         docs = spread(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), "doc_id")
-        lines = F.split("text", "\n")
+        lines = F.split(worn(F.col("text")), "\n")
         return docs.select(
             "doc_id", F.size(lines).alias("lines"), F.size(F.filter(lines, flag)).alias(name)
         )
@@ -322,6 +338,20 @@ def with_eos(spark: SparkSession, sf: str) -> DataFrame:
     return coded.select("ordinal", joined("ids"), F.size("ids").alias("n_tokens"))
 
 
+def stats_with_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of the documents, some of them null or empty, without end ids."""
+    docs = documents(spark, sf)
+    gapped = docs.withColumn("text", gaps(F.col("text"), F.col("file_id").cast("long")))
+    return encode_stats(gapped, learned(spark, sf), with_eos=False)
+
+
+def marked_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Round trip of all documents, of which every tenth ends in a literal special token."""
+    docs = documents(spark, sf)
+    marked = F.when(F.col("file_id").cast("long") % 10 == 0, F.concat("text", F.lit("[EOS]")))
+    return round_trip(docs.withColumn("text", F.coalesce(marked, "text")), learned(spark, sf))
+
+
 def dataset(spark: SparkSession, sf: str) -> TokenDataset:
     docs = selection.with_identity(documents(spark, sf), VAL_RATIO)
     return encode_corpus(docs, learned(spark, sf), BLOCK)
@@ -354,7 +384,10 @@ def pair_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def evaluation_report(spark: SparkSession, sf: str) -> DataFrame:
-    report = evaluation.evaluation_report(pair_scores(spark, sf), VOCAB)
+    return rounded(evaluation.evaluation_report(pair_scores(spark, sf), VOCAB))
+
+
+def rounded(report: DataFrame) -> DataFrame:
     digits = {"loss": 7, "perplexity": 6, "gain_over_uniform": 6, "accuracy": 6}
     return report.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
@@ -364,7 +397,8 @@ def random_window_evaluation(spark: SparkSession, sf: str) -> DataFrame:
 
     data = dataset(spark, sf)
     part = {s: data.tokens.where(F.col("split") == s) for s in ("train", "val")}
-    return evaluate_tokens(part["train"], part["val"], VOCAB, BLOCK, WINDOWS, seed=7)
+    report = evaluate_tokens(part["train"], part["val"], VOCAB, BLOCK, WINDOWS, seed=SEED)
+    return rounded(report)
 
 
 def top_k(spark: SparkSession, sf: str) -> DataFrame:
@@ -405,22 +439,22 @@ def queries() -> dict[str, Query]:
         "header_footer_lines": line_flags(c.is_header_footer, "header_lines"),
         "symbol_soup_lines": line_flags(c.is_symbol_soup, "soup_lines"),
         "drop_noise_lines": each_document(c.drop_noise_lines),
-        "clean_for_model": lambda s, sf: documents(s, sf).select(
+        "clean_for_model": lambda s, sf: worn_documents(s, sf).select(
             "ordinal", c.clean_for_model(F.col("text")).alias("cleaned")
         ),
         # quality
         "text_metrics": lambda s, sf: flat_metrics(scored(s, sf), "ordinal"),
         "text_metrics_raw": lambda s, sf: flat_metrics(
-            with_text_metrics(documents(s, sf), "text"), "ordinal"
+            with_text_metrics(worn_documents(s, sf).where("text IS NOT NULL"), "text"), "ordinal"
         ),
         "text_metrics_pages": text_metrics_pages,
         "quality_score": lambda s, sf: scored(s, sf, DEFAULT).select(
             "ordinal", "score", F.round("score", 4).alias("rounded_score")
         ),
-        "reject_reason": lambda s, sf: scored(s, sf, DEFAULT).select("ordinal", "reason"),
-        "reject_reason_production": lambda s, sf: scored(
+        "reject_reason": lambda s, sf: judged(s, sf, DEFAULT),
+        "reject_reason_production": lambda s, sf: judged(
             s, sf, CorpusConfig.production(columns=COLUMNS)
-        ).select("ordinal", "reason"),
+        ),
         # selection
         "kept_documents": lambda s, sf: thin(s, sf)
         .where(F.col("reason").isNull())
@@ -472,11 +506,11 @@ def queries() -> dict[str, Query]:
         "tokenizer_files": tokenizer_files_round_trip,
         "encode": lambda s, sf: encoded(s, sf).select("ordinal", joined("ids")),
         "decode": decoded,
-        "round_trip": lambda s, sf: round_trip(documents(s, sf), learned(s, sf)),
+        "round_trip": marked_round_trip,
         "tokenizer_report": tokenizer_report,
         # token dataset
         "append_eos": with_eos,
-        "encode_stats": lambda s, sf: encode_stats(documents(s, sf), learned(s, sf)),
+        "encode_stats": stats_with_gaps,
         "token_offsets": lambda s, sf: dataset(s, sf).tokens.select(
             "split", "ordinal", "n_tokens", "start_offset"
         ),

@@ -10,6 +10,7 @@ MERGES = VOCAB - 260
 BLOCK = 64
 WINDOWS = 500
 STRIDE = 104_729  # spreads the given window starts over the stream
+SEED = 7
 ADD_K = 1.0
 TEMPERATURE = 0.8
 TOP_K = 5

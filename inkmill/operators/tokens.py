@@ -82,11 +82,13 @@ def random_starts(
 ) -> DataFrame:
     """``n_windows`` window starts, uniform in [0, n_tokens - block_size - 1), repeatable.
 
-    They come from a hash of seed and window number, so they do not depend on partitions.
+    They come from the MD5 of seed and window number, so they do not depend on partitions and
+    other engines can draw them too.
     """
     if n_tokens <= block_size + 1:
         raise ValueError(f"{n_tokens} tokens are too few for windows of {block_size}")
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(n_tokens - block_size - 1))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string")).cast("binary"))
+    draw = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % (n_tokens - block_size - 1)
     return spark.range(n_windows).select(F.col("id").alias("window_id"), draw.alias("start"))
 
 
