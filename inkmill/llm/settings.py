@@ -8,6 +8,7 @@ END_ID = 1
 CAPACITY = 4_096
 WORDS = 4  # per shingle in the query
 PIPELINE_WORDS = 5
+COMPONENTS = 4
 RULES = [
     ("allow", "com/"),
     ("block", "example.com/en/"),
