@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from inkmill.llm.hashing import sampled
 from inkmill.llm.worker import small_batches, worker_state
 
-FIT_ROWS = 4_000
+FIT_ROWS = 2_500
 BUCKETS = 1 << 16
 DIM = 8
 GRAMS = (3, 4, 5)
@@ -114,7 +114,7 @@ def constant(score: float) -> ToxicityModel:
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, share_toxic: float) -> ToxicityModel:
-    """Model of sampled texts (buckets and shares), weighted to the labels' true share."""
+    """Model of sampled texts (buckets and scaled shares), weighted to the labels' true share."""
     toxic = np.asarray(toxic, bool)
     if toxic.all() or not toxic.any():
         return constant(1.0 if len(toxic) and toxic.all() else 0.0)
@@ -137,7 +137,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], toxic: np.ndarray, share_to
             picked = order[at : at + BATCH]
             step += 1
             bucket = np.concatenate([rows[i][0] for i in picked])
-            weight = np.concatenate([rows[i][1] for i in picked]) * np.float32(SCALE)
+            weight = np.concatenate([rows[i][1] for i in picked]).astype(np.float32)
             owner = np.repeat(np.arange(len(picked)), sizes[picked])
             embeddings, softmax = params
             found = embeddings[bucket] * weight[:, None]
@@ -176,7 +176,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     def measure(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             pairs = [shares(t) for t in part["text"]]
-            packed = {"bucket": [b.tobytes() for b, _ in pairs], "share": [s.tobytes() for _, s in pairs]}
+            packed = {  # four bytes a bucket; shares scaled, so that half floats hold them
+                "bucket": [b.astype(np.uint16).tobytes() for b, _ in pairs],
+                "share": [(s * SCALE).astype(np.float16).tobytes() for _, s in pairs],
+            }
             yield pd.DataFrame({"doc_id": part["doc_id"], "is_toxic": part["is_toxic"], **packed})
 
     schema = "doc_id long, is_toxic boolean, bucket binary, share binary"
@@ -184,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     # Rows that repeat an id: the texts' smallest bytes, so that the choice is always the same.
     rows = rows.agg(F.min(F.struct("bucket", "share")).alias("x")).select("doc_id", "is_toxic", "x.*")
     rows = sorted(rows.collect(), key=lambda r: r["doc_id"])
-    pairs = [(np.frombuffer(r["bucket"], np.int32), np.frombuffer(r["share"], np.float32)) for r in rows]
+    pairs = [(np.frombuffer(r["bucket"], np.uint16), np.frombuffer(r["share"], np.float16)) for r in rows]
     total = sum(sizes.values())
     return train(pairs, np.array([r["is_toxic"] for r in rows], bool), sizes.get(True, 0) / max(total, 1))
 
