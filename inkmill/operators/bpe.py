@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from inkmill.functions.cleaning import nfc
@@ -19,10 +19,15 @@ from inkmill.functions.pretokens import (
     symbol_id,
     to_symbols,
 )
-from inkmill.staging import spread, stage
+from inkmill.staging import spread, stage, staging_path
 
 # While learning, every symbol is one code point; there are no more of them than this.
 MAX_VOCAB = 1_100_000
+# Pairs that rounds with an index rank, share of words after which the index is built anew, and
+# word ids that may be broadcast then.
+HELD_PAIRS = 20_000
+TOUCHED_SHARE = 0.125
+BROADCAST_IDS = 2_000_000
 
 
 @dataclass
@@ -35,6 +40,8 @@ class BpeModel:
         default_factory=lambda: [s.encode() for s in SPECIAL_TOKENS]
         + [bytes([b]) for b in bytes_by_id()]
     )
+    # Of each learning round: merges made, words rewritten (None: all). Not part of the model.
+    rounds: list[tuple[int, int | None]] = field(default_factory=list, compare=False, repr=False)
 
     @property
     def vocab_size(self) -> int:
@@ -116,6 +123,7 @@ def learn_bpe(
     min_frequency: int = 2,
     merges_per_stage: int = 96,
     candidates: int = 400,
+    rare_share: float = 0.05,
 ) -> BpeModel:
     """Learn merges from ``word_counts`` until the vocabulary is full or pairs get rare.
 
@@ -124,6 +132,10 @@ def learn_bpe(
     to the driver, which picks the next merges. After ``merges_per_stage`` merges both tables
     are written anew to the shared folder, so plans and lineage stay short and a lost
     executor costs one round.
+
+    The first merges change most words, so these rounds go over all of them. Once the next
+    ``merges_per_stage`` merges take up less than ``rare_share`` of all pair occurrences, the
+    rest is learned with an index from pairs to words (``_learn_indexed``).
     """
     if vocab_size > MAX_VOCAB:
         raise ValueError(f"a vocabulary of more than {MAX_VOCAB} tokens has no code points left")
@@ -133,7 +145,8 @@ def learn_bpe(
     pending: list[tuple[str, str]] = []
     staged = len(model.merges)
     total = _total(pairs)
-    while model.vocab_size < vocab_size:
+    rare = False
+    while model.vocab_size < vocab_size and not rare:
         share = sum(model.counts[staged:]) / max(total, 1)
         current = _current_pairs(pairs, words, pending, share)
         top = current.orderBy(F.desc("n"), "pair").limit(candidates).collect()
@@ -141,6 +154,7 @@ def learn_bpe(
         if not made:
             break
         pending += made
+        model.rounds.append((len(made), None))
         if len(pending) >= merges_per_stage:
             old = (words, pairs)
             merged = words.select(_apply(F.col("symbols"), pending).alias("symbols"), "freq")
@@ -149,11 +163,122 @@ def learn_bpe(
             pending, staged, total = [], len(model.merges), _total(pairs)
             for table in old:
                 table.unpersist()
+            rare = model.counts[-1] * merges_per_stage < rare_share * total
+    if rare:
+        _learn_indexed(words, pairs, model, known, vocab_size, min_frequency, candidates)
     words.unpersist()
     pairs.unpersist()
     return model
 
 
+def _learn_indexed(
+    words: DataFrame,
+    pairs: DataFrame,
+    model: BpeModel,
+    known: dict[bytes, int],
+    vocab_size: int,
+    min_frequency: int,
+    candidates: int,
+) -> None:
+    """Learn on with rounds that only touch words that hold a merged pair.
+
+    An index of postings (pair, word) is written in buckets of pairs, so looking up a few pairs
+    reads few files. The words found there join the *touched* words of earlier rounds, which are
+    kept as they were when the index was built and as they are now; the difference of their
+    pairs is what pair counts change by. A pair of a symbol made since then occurs in touched
+    words only, so the index need not hold it. Top pairs come from the ``HELD_PAIRS`` most
+    frequent ones of the index's time and those differences: a count of old symbols only falls,
+    so a pair left out cannot rank above their least count, and when no other is left the index is
+    built anew, as it is when a ``TOUCHED_SHARE`` of the words was touched. Only a merge that gives
+    a token made before can raise counts of old symbols; from then on all pairs are held.
+    """
+    words = stage(words.withColumn("word_id", F.monotonically_increasing_id()), "bpe-words")
+    while model.vocab_size < vocab_size:
+        n_words, size = words.count(), model.vocab_size
+        index, buckets = _write_index(words, n_words)
+        least = pairs.select("n").orderBy(F.desc("n")).limit(HELD_PAIRS).agg(F.count("*"), F.min("n")).first()
+        floor = least[1] if least[0] == HELD_PAIRS else 0
+        held = stage(pairs.where(F.col("n") >= floor), "bpe-held")
+        held = held.coalesce(held.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+        touched, n_touched, done = None, 0, False
+        while model.vocab_size < vocab_size and n_touched <= TOUCHED_SHARE * n_words:
+            current = held if touched is None else _with_changes(held, touched)
+            top = current.orderBy(F.desc("n"), "pair").limit(candidates).collect()
+            certain = [r for r in top if r["n"] >= floor]
+            made = _choose_batch(certain, model, known, vocab_size, min_frequency) if certain else []
+            if not made:
+                done = bool(certain) or floor == 0
+                break
+            if floor and made[0][1] <= symbol_char(size - 1):
+                held.unpersist()
+                held, floor = pairs, 0
+            touched, n_touched = _touch(touched, index, buckets, made, size)
+            model.rounds.append((len(made), n_touched))
+        held.unpersist()
+        if done or model.vocab_size >= vocab_size:
+            return
+        if touched is not None:
+            pairs = stage(_with_changes(pairs, touched), "bpe-pairs")
+            changed = touched.select("word_id")
+            if n_touched <= BROADCAST_IDS:
+                changed = F.broadcast(changed)
+            same = words.join(changed, "word_id", "left_anti")
+            now = touched.select("symbols", "freq", "word_id").where(F.length("symbols") > 1)
+            words = stage(same.unionByName(now), "bpe-words")
+
+
+def _write_index(words: DataFrame, n_words: int) -> tuple[DataFrame, int]:
+    """Postings with the word itself, in folders by a hash of the pair, and the folders' number."""
+    buckets = min(4_096, max(8, n_words // 20_000))
+    postings = words.select(
+        F.explode(F.array_distinct(adjacent_pairs(F.col("symbols")))).alias("pair"), "word_id", "symbols", "freq"
+    ).withColumn("bucket", (F.ascii("pair") * 31 + F.ascii(F.substring("pair", 2, 1))) % buckets)
+    # A pair may be in very many words: its bucket is written by several tasks.
+    spread_out = postings.repartition("bucket", F.pmod("word_id", F.lit(4)))
+    path = staging_path(words.sparkSession, "bpe-index")
+    spread_out.sortWithinPartitions("bucket", "pair").write.partitionBy("bucket").parquet(path)
+    return words.sparkSession.read.schema(postings.schema).parquet(path), buckets
+
+
+def _touch(
+    touched: DataFrame | None, index: DataFrame, buckets: int, made: list[tuple[str, str]], size: int
+) -> tuple[DataFrame, int]:
+    """Touched words after the merges ``made``, and how many they are; a written table."""
+    last = symbol_char(size - 1)
+    old = [pair for pair, _ in made if max(pair) <= last]
+    layers = []
+    if touched is not None:
+        layers.append(touched.withColumn("symbols", _apply(F.col("symbols"), made)))
+    if old:
+        homes = {(ord(a) * 31 + ord(b)) % buckets for a, b in old}
+        found = index.where(F.col("bucket").isin(homes) & F.col("pair").isin(old))
+        found = found.dropDuplicates(["word_id"])
+        if touched is not None:
+            found = found.join(touched.select("word_id"), "word_id", "left_anti")
+        now = _apply(F.col("symbols"), made)
+        layers.append(found.select("word_id", F.col("symbols").alias("before"), now.alias("symbols"), "freq"))
+    rows = layers[0] if len(layers) == 1 else layers[0].unionByName(layers[1])
+    count = Observation()
+    written = stage(rows.observe(count, F.count("*").alias("n")), "bpe-touched")
+    return written, count.get["n"]
+
+
+def _with_changes(pairs: DataFrame, touched: DataFrame) -> DataFrame:
+    """Pair counts with those of touched words as they were taken off, as they are added."""
+    both = F.concat(_signed(F.col("before"), -1), _signed(F.col("symbols"), 1))
+    return _plus(pairs, touched.select(F.explode(both).alias("p"), "freq"))
+
+
+def _signed(symbols: Column, sign: int) -> Column:
+    pair_of = adjacent_pairs(symbols)
+    return F.transform(pair_of, lambda p: F.struct(p.alias("pair"), F.lit(sign).alias("sign")))
+
+
+def _plus(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    delta = signed.select("p.pair", (F.col("p.sign") * F.col("freq")).alias("n"))
+    return pairs.unionByName(delta).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def _stage_tables(
     words: DataFrame, pairs: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -183,18 +308,11 @@ def _current_pairs(
         merged = words.select(_apply(F.col("symbols"), merges).alias("symbols"), "freq")
         return pair_counts(merged)
 
-    def signed(symbols: Column, sign: int) -> Column:
-        pair_of = adjacent_pairs(symbols)
-        return F.transform(pair_of, lambda p: F.struct(p.alias("pair"), F.lit(sign).alias("sign")))
-
     changed = words.withColumn("merged", _apply(F.col("symbols"), merges)).where(
         F.col("merged") != F.col("symbols")
     )
-    both = F.concat(signed(F.col("symbols"), -1), signed(F.col("merged"), 1))
-    delta = changed.select(F.explode(both).alias("p"), "freq").select(
-        "p.pair", (F.col("p.sign") * F.col("freq")).alias("n")
-    )
-    return pairs.unionByName(delta).groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
+    both = F.concat(_signed(F.col("symbols"), -1), _signed(F.col("merged"), 1))
+    return _plus(pairs, changed.select(F.explode(both).alias("p"), "freq"))
 
 
 __all__ = ["BpeModel", "FIRST_BYTE_ID", "learn_bpe", "pair_counts", "word_counts", "word_symbols"]

@@ -92,6 +92,24 @@ def test_batches_are_exact_for_ties_and_overlaps(spark):
     )
 
 
+@pytest.mark.parametrize("held, share, seed", [(12, 1.0, 2), (40, 0.05, 3)])
+def test_indexed_rounds_equal_library(spark, monkeypatch, held, share, seed):
+    """With few held pairs, and an index built anew after few touched words; repeated tokens too."""
+    monkeypatch.setattr(bpe, "HELD_PAIRS", held)
+    monkeypatch.setattr(bpe, "TOUCHED_SHARE", share)
+    rng = random.Random(seed)
+    stems = ["".join(rng.choices("abcé", k=rng.randint(3, 12))) for _ in range(120)]
+    texts = [" ".join(rng.choices(stems, range(120, 0, -1), k=40)) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts, 1)), "ordinal long, text string")
+    counts = word_counts(df).cache()
+    got = learn_bpe(counts, 400, merges_per_stage=25, rare_share=1e9)
+    tk = library(texts, 400)
+    assert tk.get_vocab() == {name: i for i, name in enumerate(tokenizer_files.token_strings(got))}
+    rewritten = [n for _, n in got.rounds if n is not None]
+    assert len(rewritten) > 5 and min(rewritten) < counts.count() / 4
+    assert sum(n for n, _ in got.rounds) == len(got.merges)
+
+
 def test_stops_when_pairs_get_rare(spark):
     df = spark.createDataFrame([(1, "ab ab cd")], "ordinal long, text string")
     got = learn_bpe(word_counts(df), 1000)
