@@ -406,6 +406,7 @@ def oracle_sql() -> dict[str, str]:
         "reject_counts": COUNTS,
         "corpus_summary": summary(WHOLE),
         "corpus_summary_cut": summary(BUDGET),
+        "corpus_summary_waves": summary(BUDGET),
         "rejected_report": REJECTED,
         "kept_report": KEPT_REPORT,
         "corpus_size": "SELECT count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents WHERE text <> ''",

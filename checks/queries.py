@@ -40,7 +40,7 @@ from inkmill.operators.tokens import (
     tokenize,
     with_offsets,
 )
-from inkmill.plans.corpus_build import CorpusBuild, build_corpus
+from inkmill.plans.corpus_build import CorpusBuild, build_corpus, build_corpus_in_waves
 from inkmill.plans.token_dataset import TokenDataset, encode_corpus
 from inkmill.sources import corpus as src
 from inkmill.sources import corpus_files, tokenbin, tokenizer_files
@@ -139,6 +139,23 @@ def corpus_output(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def many_files(spark: SparkSession, sf: str, n: int = 16) -> str:
+    """The documents written again as ``n`` files in the order of their ordinals."""
+    docs = documents(spark, sf)
+    sizes = docs.select("ordinal", F.lit(1).alias("chars"))
+    path = staging_path(spark, "many-files")
+    ordered = corpus_files.in_scan_order(docs, sizes, -(-sizes.count() // n))
+    ordered.sortWithinPartitions("ordinal").drop("ordinal").write.parquet(path)
+    return path
+
+
+def summary_in_waves(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of a build that stops reading files when its budget is reached."""
+    cfg = replace(CUT, columns=ColumnMap(text="text"))
+    result = build_corpus_in_waves(spark, many_files(spark, sf), cfg=cfg, with_text=False, first_files=2)
+    return result.summary.drop("reject_counts", "settings")
+
+
 def kept_report_output(spark: SparkSession, sf: str) -> DataFrame:
     result, folder = written_corpus(spark, sf)
     schema = result.kept_report.drop("ordinal").schema
@@ -480,6 +497,7 @@ def queries() -> dict[str, Query]:
         "corpus_summary_cut": lambda s, sf: build_corpus(documents(s, sf), CUT, False).summary.drop(
             "reject_counts", "settings"
         ),
+        "corpus_summary_waves": summary_in_waves,
         "rejected_report": lambda s, sf: rejected_columns(build(s, sf, True).rejected_report),
         "kept_report": lambda s, sf: kept_columns(build(s, sf).kept_report),
         "corpus_size": lambda s, sf: src.corpus_size(documents(s, sf)),

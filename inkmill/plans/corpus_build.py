@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.config import CorpusConfig
@@ -17,6 +17,7 @@ from inkmill.operators.selection import (
     score_documents,
     with_identity,
 )
+from inkmill.sources.corpus import corpus_files, read_corpus_files
 from inkmill.staging import stage
 
 # Ordinals of dropped copies that may be broadcast (8 bytes each); beyond that the kept
@@ -28,15 +29,17 @@ MAX_BROADCAST_ORDINALS = 2_000_000
 class CorpusBuild:
     """Results of a corpus build.
 
-    ``scored`` holds every document with its judgement; ``kept`` the identity (no text) of
-    the documents that stay. Both are written tables. ``cut`` is the ordinal of the document
-    that reached the character budget; nothing behind it is seen by any result.
+    ``scored`` holds every document with its judgement, with its ``cleaned`` text if it passed
+    and a ``sample`` of it if not; ``kept`` the identity (no text) of the documents that stay.
+    Both are written tables. ``cut`` is the ordinal of the document that reached the character
+    budget; nothing behind it is seen by any result. ``files`` are those read, if known.
     """
 
     scored: DataFrame
     kept: DataFrame
     cut: int | None
     cfg: CorpusConfig
+    files: list[str] | None = None
 
     def _seen(self, df: DataFrame) -> DataFrame:
         return df if self.cut is None else df.where(F.col("ordinal") <= self.cut)
@@ -59,7 +62,7 @@ class CorpusBuild:
             *["file_id", "title", "author", "date", "reason"],
             F.round("score", 4).alias("score"),
             "metrics",
-            F.substring("cleaned", 1, 400).alias("sample"),
+            "sample",
         )
 
     @property
@@ -157,18 +160,72 @@ def build_corpus(docs: DataFrame, cfg: CorpusConfig, with_text: bool = True) ->
     ``with_text=False`` leaves the cleaned text out of the written table when only counts
     and the kept report are wanted.
     """
+    scored = _judge(docs, cfg, with_text)
+    kept = stage(_keep(scored, cfg), "kept").drop("content_hash")
+    return CorpusBuild(scored, kept, budget_cut(kept, cfg.target_chars), cfg)
+
+
+def build_corpus_in_waves(
+    spark: SparkSession,
+    folder: str,
+    glob: str = "*.parquet",
+    cfg: CorpusConfig = CorpusConfig(),
+    with_text: bool = True,
+    first_files: int = 8,
+) -> CorpusBuild:
+    """``build_corpus`` of the files in ``folder``, reading no more of them than the budget needs.
+
+    Files are judged in waves, in name order. A wave has at most twice as many files as the
+    one before, and no more than the budget seems to need from the characters kept so far.
+    From wave to wave go the number of rows (so ordinals run on), the characters kept, and the
+    written hashes of kept documents, which are unique, so that joining them has no hot key.
+    The result equals that of the whole folder.
+    """
+    paths = corpus_files(spark, folder, glob)
+    waves: list[tuple[DataFrame, DataFrame]] = []
+    read = rows = chars = 0
+    size, cut = max(1, first_files), None
+    while read < len(paths) and cut is None:
+        docs = read_corpus_files(spark, paths[read : read + size], cfg.columns)
+        read = min(read + size, len(paths))
+        scored = _judge(docs.withColumn("ordinal", F.col("ordinal") + rows), cfg, with_text)
+        kept = _keep(scored, cfg)
+        if waves:
+            earlier = _all([k for _, k in waves]).select("content_hash")
+            kept = kept.join(earlier, "content_hash", "left_anti")
+        kept = stage(kept, "kept")
+        waves.append((scored, kept))
+        cut = budget_cut(kept, cfg.target_chars - chars)
+        rows += scored.count()
+        chars += kept.agg(F.coalesce(F.sum("chars"), F.lit(0))).first()[0]
+        size *= 2
+        if chars:  # a tenth more than the kept characters of a file suggest
+            size = min(size, max(1, -(-11 * (cfg.target_chars - chars) * read // (10 * chars))))
+    kept = _all([k for _, k in waves]).drop("content_hash")
+    return CorpusBuild(_all([s for s, _ in waves]), kept, cut, cfg, paths[:read])
+
+
+def _all(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _judge(docs: DataFrame, cfg: CorpusConfig, with_text: bool) -> DataFrame:
+    """Judged documents as a written table. Reports need a short sample of rejected texts only."""
     scored = score_documents(docs, cfg)
-    if not with_text:
+    if with_text:
+        failed = F.col("reason") != "missing_text"
+        scored = scored.withColumn("sample", F.when(failed, F.substring("cleaned", 1, 400)))
+        scored = scored.withColumn("cleaned", F.when(F.col("reason").isNull(), F.col("cleaned")))
+    else:
         scored = scored.drop("cleaned")
-    scored = stage(scored, "scored")
-    kept = drop_exact_duplicates(
-        scored.select("ordinal", *META, "content_hash", "reason", F.col("metrics.chars").alias("chars"))
-    )
-    kept = with_identity(kept, cfg.val_ratio).select(
-        "ordinal", "doc_id", *META, "split", "chars"
-    )
-    kept = stage(kept, "kept")
-    return CorpusBuild(scored, kept, budget_cut(kept, cfg.target_chars), cfg)
+    return stage(scored, "scored")
+
+
+def _keep(scored: DataFrame, cfg: CorpusConfig) -> DataFrame:
+    """Identity and content hash of what passed and is the first of its content."""
+    thin = scored.select("ordinal", *META, "content_hash", "reason", F.col("metrics.chars").alias("chars"))
+    kept = with_identity(drop_exact_duplicates(thin), cfg.val_ratio)
+    return kept.select("ordinal", "doc_id", *META, "split", "chars", "content_hash")
 
 
-__all__ = ["CorpusBuild", "build_corpus", "first_copies"]
+__all__ = ["CorpusBuild", "build_corpus", "build_corpus_in_waves", "first_copies"]

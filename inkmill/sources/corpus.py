@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +25,23 @@ def read_corpus(
     ordinal counts all rows, files in name order. A text column that is not a string counts
     as missing text.
     """
-    source = _load_parquet(spark, folder, glob)
+    return _documents(_load_parquet(spark, folder, glob), columns)
+
+
+def corpus_files(spark: SparkSession, folder: str, glob: str = "*.parquet") -> list[str]:
+    """Paths of the files that ``read_corpus`` reads, in the order of their ordinals."""
+    paths = [unquote(path) for path in _load_parquet(spark, folder, glob).inputFiles()]
+    return sorted(paths, key=lambda path: (path.rsplit("/", 1)[-1].encode(), path.encode()))
+
+
+def read_corpus_files(
+    spark: SparkSession, paths: list[str], columns: ColumnMap = ColumnMap()
+) -> DataFrame:
+    """Like ``read_corpus`` for some of its files; ordinals count from the first of them."""
+    return _documents(spark.read.parquet(*paths), columns)
+
 
+def _documents(source: DataFrame, columns: ColumnMap) -> DataFrame:
     def mapped(name: str | None, required: bool = False) -> Column:
         if name is None:
             return F.lit(None).cast("string")

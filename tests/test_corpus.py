@@ -117,6 +117,30 @@ def test_build(spark, folder, texts, target):
         assert [r["reason"] for r in result.rejected_report.collect()] == ["too_short"]
 
 
+@pytest.mark.parametrize("target, first", [(10**9, 1), (1500, 1), (4000, 2), (1, 1), (10**9, 50)])
+def test_waves_equal_the_whole_build(spark, folder, target, first):
+    texts = [book(i % 7) if i % 3 else book(100 + i) for i in range(30)] + [None, "short", ""]
+    write_files(folder, texts, per_file=1)
+    cfg = CorpusConfig(min_chars=100, min_score=0.0, target_chars=target, val_ratio=0.3)
+    whole = build_corpus(src.read_corpus(spark, folder), cfg)
+    waves = corpus_build.build_corpus_in_waves(spark, folder, cfg=cfg, first_files=first)
+    for name in ("corpus", "kept_report", "rejected_report", "summary"):
+        want, got = ([r.asDict(True) for r in getattr(b, name).collect()] for b in (whole, waves))
+        assert sorted(map(repr, got)) == sorted(map(repr, want)), name
+    assert waves.cut == whole.cut
+    names = sorted(n for n in os.listdir(folder) if n.endswith(".parquet"))
+    assert [f.rsplit("/", 1)[-1] for f in waves.files] == names[: len(waves.files)]
+    if target < 10**9:
+        assert whole.cut <= len(waves.files) < len(names)
+
+
+def test_rejected_report_reads_no_cleaned_text(spark, folder, texts):
+    write_files(folder, texts)
+    report = build_corpus(src.read_corpus(spark, folder), CFG).rejected_report
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "sample" in plan and "cleaned" not in plan
+
+
 def test_many_copies_take_the_join(spark, folder, texts, monkeypatch):
     write_files(folder, texts)
     result = build_corpus(src.read_corpus(spark, folder), CFG)
