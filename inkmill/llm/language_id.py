@@ -5,12 +5,12 @@ character n-grams of the longest order of which the model knows at least one; it
 their mean log frequency. A document's language has the highest sum over its words and prior.
 
 The model is fitted on a bounded sample of labelled rows (``FIT_ROWS``, chosen by a hash of
-doc_id) and holds at most ``WORDS`` words and ``GRAMS`` n-grams of each order per language, the
-most frequent ones (ties by text). Whole texts are scored.
+doc_id) and holds all their words and n-grams, as sorted 64-bit hashes beside a table of log
+frequencies, so it is small and is read without being unpacked. Whole texts are scored.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0, as is every text
 if no labelled row has a letter. The score is the chosen language's posterior after at most
-``EVIDENCE`` average words, so it does not saturate with length. Ties between languages go to
+``EVIDENCE`` (or as asked) average words, so it does not saturate with length. Ties between languages go to
 the first by name. Repeated rows count as often as they occur.
 """
 
@@ -25,7 +25,8 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm.hashing import sampled
@@ -33,8 +34,6 @@ from inkmill.llm.worker import small_batches, worker_state
 from inkmill.staging import stage
 
 FIT_ROWS = 10_000
-WORDS = 30_000
-GRAMS = 20_000
 ORDERS = (5, 4, 3, 2, 1)
 EVIDENCE = 20
 UNKNOWN = "und"
@@ -49,35 +48,84 @@ def words_of(chunk: str) -> list[str]:
     return [w for w in found if any(map(str.isalpha, w))]
 
 
-def grams_of(word: str, order: int) -> list[str]:
-    """N-grams of the word between end marks; the unigrams leave out the marks."""
-    if order == 1:
-        return list(word)
-    marked = f"<{word}>"
-    return [marked[i : i + order] for i in range(len(marked) - order + 1)]
+_BASE = 0x100000001B3
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    factors = np.full(n + 1, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors)
+
+
+class Spans:
+    """64-bit hashes of words and of their character n-grams.
+
+    Words stand one after another, each between end marks. Prefix sums of the characters times
+    rising powers give the hash of any stretch as a difference, brought back to power zero.
+    """
+
+    def __init__(self, words: list[str]) -> None:
+        self.sizes = np.fromiter(map(len, words), np.int64, len(words))
+        joined = "".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass")
+        codes = np.frombuffer(joined, np.uint32).astype(np.uint64) + np.uint64(1)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * _powers(_BASE, len(codes))[:-1])])
+        self.back = _powers(_INVERSE, len(codes))
+        self.starts = np.cumsum(self.sizes + 2) - self.sizes - 1  # behind the first mark
+
+    def hashes(self, at: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        value = (self.sums[at + length] - self.sums[at]) * self.back[at]
+        value ^= value >> np.uint64(29)
+        return value * np.uint64(0x9E3779B97F4A7C15)
+
+    def words(self) -> np.ndarray:
+        return self.hashes(self.starts, self.sizes)
+
+    def grams(self, order: int, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in ``which`` and hash of each n-gram of those words; unigrams leave out the marks."""
+        extra = 0 if order == 1 else 2
+        number = np.maximum(self.sizes[which] + extra - order + 1, 0)
+        owner = np.repeat(np.arange(len(which)), number)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number)
+        return owner, self.hashes((self.starts[which] - extra // 2)[owner] + nth, order)
 
 
 @dataclass
 class LanguageModel:
-    """Rows of ``table`` are log frequencies per language; words and n-grams point to them."""
+    """``keys`` and ``tables`` per order (0: whole words): sorted hashes and their log
+    frequencies in each language."""
 
     languages: list[str]
     prior: np.ndarray
-    table: np.ndarray
-    words: dict[str, int]
-    grams: dict[str, int]
-
-    def rows_of(self, word: str) -> list[int]:
-        """Rows whose mean is the word's score: its own, or those of its n-grams, or none."""
-        known = self.words.get(word)
-        if known is not None:
-            return [known]
+    keys: dict[int, np.ndarray]
+    tables: dict[int, np.ndarray]
+
+    def _rows(self, order: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Table rows of the hashes, and whether the model knows them."""
+        keys = self.keys[order]
+        at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+        return at, keys[at] == hashes
+
+    def score_words(self, words: list[str]) -> np.ndarray:
+        """Score of each word per language: its log frequency, else that of its n-grams."""
+        spans = Spans(words)
+        out = np.zeros((len(words), len(self.languages)))
+        at, known = self._rows(0, spans.words())
+        out[known] = self.tables[0][at[known]]
+        left = np.flatnonzero(~known)
         for order in ORDERS:
-            get = self.grams.get
-            hits = [r for g in grams_of(word, order) if (r := get(g)) is not None]
-            if hits:
-                return hits
-        return []
+            if not len(left):
+                break
+            owner, hashes = spans.grams(order, left)
+            at, known = self._rows(order, hashes)
+            owner, at = owner[known], at[known]
+            hits = np.bincount(owner, minlength=len(left))
+            values, found = self.tables[order][at], hits > 0
+            for lang in range(len(self.languages)):
+                total = np.bincount(owner, values[:, lang], len(left))
+                out[left[found], lang] = total[found] / hits[found]
+            left = left[~found]
+        return out
 
 
 class ChunkScores:
@@ -93,22 +141,16 @@ class ChunkScores:
         self.table = np.zeros((0, self.width))
 
     def add(self, chunks: list[str]) -> None:
-        rows, sources, weights = [], [], []
-        n_words = np.zeros(len(chunks))
-        for i, chunk in enumerate(chunks):
-            found = words_of(chunk)
-            n_words[i] = len(found)
-            for word in found:
-                hits = self.model.rows_of(word)
-                rows += [i] * len(hits)
-                sources += hits
-                weights += [1 / len(hits)] * len(hits)
-            self.place[chunk] = len(self.table) + i
+        found = [words_of(chunk) for chunk in chunks]
+        n_words = np.fromiter(map(len, found), np.int64, len(found))
+        owner = np.repeat(np.arange(len(chunks)), n_words)
+        scores = self.model.score_words([w for words in found for w in words])
         fresh = np.zeros((len(chunks), self.width))
-        values = self.model.table[sources] * np.array(weights)[:, None] if sources else None
-        for lang in range(self.width - 1 if sources else 0):
-            fresh[:, lang] = np.bincount(rows, values[:, lang], len(chunks))
+        for lang in range(self.width - 1):
+            fresh[:, lang] = np.bincount(owner, scores[:, lang], len(chunks))
         fresh[:, -1] = n_words
+        first = len(self.table)
+        self.place.update((chunk, first + i) for i, chunk in enumerate(chunks))
         self.table = np.concatenate([self.table, fresh])
 
     def total(self, chunks: list[str]) -> np.ndarray:
@@ -148,79 +190,58 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _key_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of words (order 0) and n-grams by their hashes, of rows lang, word, n."""
     for batch in batches:
-        for part in range(0, batch.num_rows, 5_000):
-            rows = batch.slice(part, 5_000).to_pylist()
-            counts: Counter[tuple[str, int, str]] = Counter()
-            for row in rows:
-                for order in ORDERS:
-                    for gram in grams_of(row["word"], order):
-                        counts[row["lang"], order, gram] += row["n"]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array([k[0] for k in counts], pa.string()),
-                    "order": pa.array([k[1] for k in counts], pa.int32()),
-                    "gram": pa.array([k[2] for k in counts], pa.string()),
-                    "n": pa.array(list(counts.values()), pa.int64()),
-                }
-            )
-
-
-def _log_frequencies(rows, languages: list[str], totals: dict[str, int]) -> dict[str, np.ndarray]:
-    counts: dict[str, np.ndarray] = {}
-    place = {lang: i for i, lang in enumerate(languages)}
-    for key, lang, n in rows:
-        counts.setdefault(key, np.zeros(len(languages)))[place[lang]] = n
-    total = np.array([totals.get(lang, 0) for lang in languages])
-    base = total + _SMOOTHING * max(1, len(counts))
-    return {k: np.log((c + _SMOOTHING) / base).astype(np.float32) for k, c in counts.items()}
-
-
-def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, max_words: int = WORDS, max_grams: int = GRAMS) -> LanguageModel:
+        langs, lang_at = np.unique(np.array(batch["lang"].to_pylist(), object), return_inverse=True)
+        spans = Spans(batch["word"].to_pylist())
+        n, every = batch["n"].to_numpy(), np.arange(batch.num_rows)
+        for order in (0, *ORDERS):
+            owner, hashes = (every, spans.words()) if order == 0 else spans.grams(order, every)
+            for i, lang in enumerate(langs):
+                own = lang_at[owner] == i
+                keys, place = np.unique(hashes[own], return_inverse=True)
+                counts = np.zeros(len(keys), np.int64)
+                np.add.at(counts, place, n[owner[own]])
+                columns = [pa.array([lang] * len(keys), pa.string()), pa.array(np.full(len(keys), order, np.int32))]
+                columns += [pa.array(keys.view(np.int64)), pa.array(counts)]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "order", "key", "n"])
+
+
+def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS) -> LanguageModel:
     """Model of the rows of ``labelled`` (doc_id, text, lang) with neither text nor lang null."""
     small_batches(labelled.sparkSession)
     rows = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
     rows = sampled(rows, rows.count(), fit_rows, "doc_id")
     counted = rows.select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long")
     words = stage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), "lang-words")
-    grams = words.mapInArrow(_gram_counts, "lang string, order int, gram string, n long")
-    grams = stage(grams.groupBy("lang", "order", "gram").agg(F.sum("n").alias("n")), "lang-grams")
-
-    def top(table: DataFrame, key: str, most: int, *group: str) -> list:
-        order = Window.partitionBy(*group).orderBy(F.desc("n"), key)
-        ranked = table.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-        found = ranked.select(key, "lang", "n", *group[1:]).toArrow()  # ``most`` rows a group
-        return list(zip(*(c.to_pylist() for c in found.columns)))
-
-    totals = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    languages = sorted(totals)
+    keys = words.mapInArrow(_key_counts, "lang string, order int, key long, n long")
+    keys = keys.groupBy("lang", "order", "key").agg(F.sum("n").alias("n"))
+    found = keys.select("lang", "order", "key", "n").toArrow()  # what a bounded sample holds
     docs = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    languages = sorted(set(found["lang"].unique().to_pylist()))
+    if not languages:
+        return LanguageModel([], np.zeros(0), {}, {})
+    place = pc.index_in(found["lang"], pa.array(languages)).to_numpy()
+    order, key, n = (found[c].to_numpy() for c in ("order", "key", "n"))
+    model_keys, tables = {}, {}
+    for o in (0, *ORDERS):
+        own = order == o
+        known, at = np.unique(key[own].view(np.uint64), return_inverse=True)
+        counts = np.zeros((len(known), len(languages)))
+        counts[at, place[own]] = n[own]
+        base = counts.sum(axis=0) + _SMOOTHING * max(1, len(known))
+        model_keys[o], tables[o] = known, np.log((counts + _SMOOTHING) / base).astype(np.float32)
     share = np.array([docs[lang] for lang in languages], float)
-    table: list[np.ndarray] = []
-
-    def add(rows, totals: dict[str, int]) -> dict[str, int]:
-        found = _log_frequencies(rows, languages, totals)
-        first = len(table)
-        table.extend(found.values())
-        return {key: first + i for i, key in enumerate(found)}
-
-    words_at = add(top(words, "word", max_words, "lang"), totals)
-    by_order: dict[int, list] = {}
-    for gram, lang, n, order in top(grams, "gram", max_grams, "lang", "order"):
-        by_order.setdefault(order, []).append((gram, lang, n))
-    mass: dict[int, dict[str, int]] = {}
-    for r in grams.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect():
-        mass.setdefault(r["order"], {})[r["lang"]] = r["n"]
-    grams_at: dict[str, int] = {}
-    for order, rows_ in by_order.items():
-        grams_at |= add(rows_, mass[order])
-    prior = np.log(share / share.sum()) if languages else share
-    return LanguageModel(languages, prior, np.array(table, np.float32).reshape(len(table), len(languages)), words_at, grams_at)
-
-
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> Column:
-    """Struct of lang_pred and score for the texts of ``docs``."""
+    return LanguageModel(languages, np.log(share / share.sum()), model_keys, tables)
+
+
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", evidence: int = EVIDENCE) -> Column:
+    """Struct of lang_pred and score for the texts of ``docs``.
+
+    ``evidence``: number of average words the score rests on. The fewer, the lower the score of
+    a text whose words speak for several languages.
+    """
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     token = uuid.uuid4().hex
@@ -253,7 +274,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> Colum
                         continue
                     likely = total[:-1] + model.prior
                     best = int(np.argmax(likely))
-                    mild = total[:-1] * (min(n, EVIDENCE) / n) + model.prior
+                    mild = total[:-1] * (min(n, evidence) / n) + model.prior
                     weights = np.exp(mild - mild.max())
                     names.append(model.languages[best])
                     scores.append(float(weights[best] / weights.sum()))

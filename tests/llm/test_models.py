@@ -1,6 +1,8 @@
 """Language identification, quality ranking and token counts."""
 
+import math
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -51,6 +53,73 @@ def test_language(make_docs, language_docs):
     assert by_id[5]["score"] == by_id[7]["score"] == 0
 
 
+def plain_language(rows, texts):
+    """Back-off scoring with dictionaries, straight from the labelled rows."""
+
+    def words_of(text):
+        found = re.findall(r"[^\W\d_]+", text.lower())
+        return [w for w in found if any(c.isalpha() for c in w)]
+
+    def grams(word, order):
+        marked = word if order == 1 else f"<{word}>"
+        return [marked[i : i + order] for i in range(len(marked) - order + 1)]
+
+    counts, docs = {}, {}
+    for text, lang in rows:
+        docs[lang] = docs.get(lang, 0) + 1
+        for w in words_of(text):
+            for key in [(0, w)] + [(o, g) for o in range(1, 6) for g in grams(w, o)]:
+                by_lang = counts.setdefault(key, {})
+                by_lang[lang] = by_lang.get(lang, 0) + 1
+    names = sorted({lang for by_lang in counts.values() for lang in by_lang})
+    base = {}
+    for order in range(6):
+        own = [by_lang for (o, _), by_lang in counts.items() if o == order]
+        for lang in names:
+            base[order, lang] = sum(b.get(lang, 0) for b in own) + 0.5 * max(1, len(own))
+
+    def log_of(key, lang):
+        return float(np.float32(math.log((counts[key].get(lang, 0) + 0.5) / base[key[0], lang])))
+
+    prior = {lang: math.log(docs[lang] / sum(docs[x] for x in names)) for lang in names}
+    out = []
+    for text in texts:
+        words, total = words_of(text or ""), dict.fromkeys(names, 0.0)
+        for w in words:
+            keys = [(0, w)] if (0, w) in counts else []
+            for order in (5, 4, 3, 2, 1):
+                keys = keys or [(order, g) for g in grams(w, order) if (order, g) in counts]
+            for lang in names:
+                total[lang] += sum(log_of(k, lang) for k in keys) / max(1, len(keys))
+        if not words or not names:
+            out.append(("und", 0.0))
+            continue
+        best = max(names, key=lambda lang: total[lang] + prior[lang])
+        mild = {x: total[x] * min(len(words), 20) / len(words) + prior[x] for x in names}
+        top = max(mild.values())
+        weights = {x: math.exp(v - top) for x, v in mild.items()}
+        out.append((best, weights[best] / sum(weights.values())))
+    return out
+
+
+def test_language_against_brute_force(make_docs):
+    rng = random.Random(12)
+    rows = []
+    for i in range(90):
+        lang = ("en", "fr", "xx")[i % 3]
+        words = [w[: rng.randint(1, 9)] + rng.choice(["", "ß", "é", "o"]) for w in rng.choices(WORDS.get(lang, ["zab", "ΣΑΣ", "ǅ", "日本"]), k=12)]
+        rows.append((i, " ".join(words), lang))
+    texts = [" ".join(rng.choices([*WORDS["en"], *WORDS["fr"], "watrr", "pierrot", "qqq", "ΣΑ", "½", "x", "日"], k=n)) for n in (1, 2, 5, 40, 300)]
+    texts += ["don't STOP-it é_é", "ŉ 日本語 z" * 50, "", None, "12", "y" * 5_000]
+    model = language_id.fit(make_docs(rows))
+    docs = make_docs(list(enumerate(texts)))
+    got = docs.select("doc_id", language_id.identify(docs, model).alias("p")).select("doc_id", "p.*").collect()
+    want = plain_language([r[1:] for r in rows], texts)
+    for r in got:
+        lang, score = want[r["doc_id"]]
+        assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-9, (texts[r["doc_id"]], r, want[r["doc_id"]])
+
+
 def test_language_without_labels(make_docs):
     model = language_id.fit(make_docs([(1, "abc", None), (2, None, "en")]))
     docs = make_docs([(1, "abc def", "en")])
