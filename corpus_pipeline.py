@@ -14,7 +14,10 @@ from inkmill.llm.hashing import small
 from inkmill.llm.settings import CAPACITY, END_ID, PACK_TOKENIZER, PIPELINE_WORDS
 from inkmill.staging import spread, stage
 
-MIN_LANGUAGE_SCORE = 0.1
+# Posterior of the likeliest language after three average words: texts that mix languages stay
+# below, while a short text in one language does not.
+LANGUAGE_EVIDENCE = 3
+MIN_LANGUAGE_SCORE = 0.8
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -28,10 +31,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters, whose likeliest language has a score of at least 0.1."""
+    """Documents in one language: with letters, and with a score of 0.8 for the likeliest one."""
     docs = spread(docs.select(COLUMNS))
     model = language_id.fit(docs)
-    found = language_id.identify(docs, model)
+    found = language_id.identify(docs, model, evidence=LANGUAGE_EVIDENCE)
     return docs.where(found["score"] >= MIN_LANGUAGE_SCORE)
 
 

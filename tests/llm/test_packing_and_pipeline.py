@@ -167,6 +167,19 @@ def test_stages(spark, tables, tmp_path):
     assert {r["doc_id"] for r in final.collect()} == kept["best-fit packing"]
 
 
+def test_language_stage_rejects_mixtures(spark, make_docs):
+    rng = random.Random(9)
+    french = "maison pierre rivière lumière chemin soleil montagne verte chanson fleur arbre".split()
+    rows = [(i, " ".join(rng.choices(WORDS, k=30)), "en") for i in range(40)]
+    rows += [(100 + i, " ".join(rng.choices(french, k=30)), "fr") for i in range(40)]
+    mixed = [" ".join(x for pair in zip(rng.choices(WORDS, k=15), rng.choices(french, k=15)) for x in pair) for _ in range(9)]
+    rows += [(200 + i, text, None) for i, text in enumerate(mixed)] + [(300, "12 34 ...", "en")]
+    rows += [(301, "stone river", None), (302, "pierre verte", None)]
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, make_docs(rows), "").collect()}
+    assert kept >= {*range(40), *range(100, 140), 301, 302}
+    assert 300 not in kept and len(kept & set(range(200, 209))) <= 3
+
+
 def test_repeated_rows_leave_one(spark, make_docs):
     docs = make_docs([(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "z")])
     kept = corpus_pipeline.near_dedup(spark, docs, "")
