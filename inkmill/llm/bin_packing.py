@@ -8,9 +8,12 @@ their length, so the same plan serves any number of documents.
 Planning is branch and bound over bins: the largest length left is completed by fillings in
 order of waste, larger pieces first; a single piece that fills the rest exactly dominates all
 other fillings. A filling is used as often as its lengths last. A dive ends when its waste
-shows that it cannot beat the incumbent, which is best-fit decreasing at first; later dives
-take the second-best filling at one step. The search stops at the lower bound or after
-``DIVES`` dives, of ``NODES`` partial fillings for each completion, and keeps the best plan.
+shows that it cannot beat the incumbent. The first incumbent is the best of best-fit decreasing
+and of its variants that put one to ``SMALLEST`` of the smallest pieces beside the largest before
+they fit others (lengths near a third of the capacity need that). Later dives take the second-best
+filling at one step. The search stops at the lower bound or after ``DIVES`` dives, of ``NODES``
+partial fillings for each completion, and keeps the best plan; it is a bounded search, not proof
+of the least number of bins.
 
 Defined cases: a null text counts as empty and becomes one piece that holds the end id alone.
 An empty table gives an empty result. Repeated rows are packed as often as they occur. A
@@ -31,13 +34,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkmill.llm.worker import RecentCache, small_batches, worker_state
+from inkmill.llm.worker import small_batches, worker_state
 from inkmill.staging import stage
 
+SMALLEST = 3  # incumbents put up to so many smallest pieces beside the largest
 DIVES = 40
 NODES = 3_000
 SALTS = 128
-_CHUNKS, _WORDS = 150_000, 300_000  # remembered per generation
+_CHUNKS, _PARTS = 700_000, 450_000  # remembered
+_TEXTS = 50  # encoded together
 # ASCII and Latin letters with one lower-case letter each, then ASCII punctuation: such a chunk
 # has the tokens of the lower-case word followed by those of the punctuation.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-/:-@\[-`{-~]*)")
@@ -46,11 +51,33 @@ _UNUSUAL_BLANK = re.compile("[\x1c-\x1f]")
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+class _Places(dict):
+    """Numbers of chunks; a chunk not seen before gets the next one and is noted as new."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        self.new.append(chunk)
+        return number
+
+
+def _room(array: np.ndarray, used: int, more: int) -> np.ndarray:
+    """``array`` or a copy twice as long, with room for ``more`` behind its ``used`` entries."""
+    if used + more <= len(array):
+        return array
+    grown = np.zeros(2 * (used + more), array.dtype)
+    grown[:used] = array[:used]
+    return grown
+
+
 class ChunkEncoder:
-    """Ids of whole texts, looking up each distinct chunk between spaces once.
+    """Ids of whole texts, encoding each distinct chunk between spaces once.
 
     The tokenizer drops white space before anything else looks across it, so a text has the
-    ids of its chunks one after another.
+    ids of its chunks one after another. The ids of all chunks met so far lie in one array;
+    texts gather theirs from it.
     """
 
     def __init__(self, path: str) -> None:
@@ -58,41 +85,90 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.chunks, self.words = RecentCache(_CHUNKS), RecentCache(_WORDS)
-
-    def _library(self, text: str) -> bytes:
-        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        if not word:
-            return b""
-        ids = self.words.young.get(word) or self.words.find(word)
-        if ids is None:
-            ids = self._library(word)
-            self.words.put(word, ids)
-        return ids
-
-    def _chunk(self, chunk: str) -> bytes:
-        ids = self.chunks.find(chunk)
-        if ids is not None:
-            return ids
-        plain = _PLAIN.fullmatch(chunk)
-        if plain and "<|" not in chunk:
-            ids = self._word(plain[1].lower()) + self._word(plain[2])
-        else:
-            ids = self._library(chunk)
-        self.chunks.put(chunk, ids)
-        return ids
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.parts: dict[str, bytes] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.places = _Places()
+        self.known = 0
+        self.ids = np.zeros(0, "<u4")
+        self.ends = np.zeros(1, np.int64)  # of chunk i in ``ids``: ends[i] to ends[i + 1]
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _plain_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of parts of one word each: encoded as one text and cut behind each word's end."""
+        ids = np.array(self.tokenizer.encode(" ".join(parts), add_special_tokens=False).ids, "<u4")
+        cuts = np.flatnonzero(self.closes[ids]) + 1
+        if len(cuts) != len(parts) or len(cuts) and cuts[-1] != len(ids):
+            return self._library(parts)
+        raw, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
+    def _learn(self) -> None:
+        """Ids of the new chunks: of their plain parts, so that case and punctuation share them."""
+        new, self.places.new = self.places.new, []
+        if len(self.parts) > _PARTS:
+            self.parts.clear()
+        parts = self.parts
+        split: list[tuple[str, ...]] = []
+        plain, other = {}, {}
+        for chunk in new:
+            if chunk.isascii() and chunk.isalpha():
+                own = (chunk.lower(),)
+            elif (match := _PLAIN.fullmatch(chunk)) and "<|" not in chunk:
+                own = (match[1].lower(), match[2]) if match[2] else (match[1].lower(),)
+            else:
+                split.append((chunk,))
+                if chunk not in parts:
+                    other[chunk] = None
+                continue
+            split.append(own)
+            for part in own:
+                if part not in parts:
+                    plain[part] = None
+        for unknown, encode in ((list(plain), self._plain_parts), (list(other), self._library)):
+            for some in range(0, len(unknown), 200):
+                parts.update(zip(unknown[some : some + 200], encode(unknown[some : some + 200])))
+        found = [parts[own[0]] if len(own) == 1 else parts[own[0]] + parts[own[1]] for own in split]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ends = self.ends[self.known] + np.cumsum(sizes)
+        ids = np.frombuffer(b"".join(found), "<u4")
+        self.ids = _room(self.ids, self.ends[self.known], len(ids))
+        self.ids[self.ends[self.known] : ends[-1]] = ids
+        self.ends = _room(self.ends, self.known + 1, len(ends))
+        self.ends[self.known + 1 : self.known + 1 + len(ends)] = ends
+        self.known += len(ends)
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text as unsigned 32-bit numbers."""
+        if len(self.places) > _CHUNKS:
+            self.clear()
+        chunks, whole = [], {}
+        for i, text in enumerate(texts):
+            if _UNUSUAL_BLANK.search(text):  # the library does not take these for white space
+                whole[i] = np.frombuffer(self._library([text])[0], "<u4")
+                text = ""
+            chunks.append(np.fromiter(map(self.places.__getitem__, text.split()), np.int64))
+        if self.places.new:
+            self._learn()
+        out = []
+        for i, at in enumerate(chunks):
+            starts = self.ends[at]
+            sizes = self.ends[at + 1] - starts
+            first = np.cumsum(sizes) - sizes
+            places = np.arange(sizes.sum()) + np.repeat(starts - first, sizes)
+            out.append(whole[i] if i in whole else self.ids[places])
+        return out
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        if _UNUSUAL_BLANK.search(text):
-            return self._library(text)  # the library does not take these for white space
-        chunks, make = self.chunks, self._chunk
-        return b"".join(
-            [i if (i := chunks.young.get(c)) is not None else make(c) for c in text.split()]
-        )
+        return self.encode_all([text])[0].tobytes()
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int) -> DataFrame:
@@ -105,12 +181,15 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: in
         if not cache:
             cache["encoder"] = ChunkEncoder(tokenizer_path)
         encoder = cache["encoder"]
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], "<u4")
         width = 4 * capacity
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = encoder.encode(text or "") + end
+            found: list[np.ndarray] = []
+            for part in range(0, batch.num_rows, _TEXTS):
+                found += encoder.encode_all([t or "" for t in batch["text"].slice(part, _TEXTS).to_pylist()])
+            for doc_id, own_ids in zip(batch["doc_id"].to_pylist(), found):
+                ids = np.concatenate([own_ids, end]).tobytes()
                 for piece, at in enumerate(range(0, len(ids), width)):
                     own = ids[at : at + width]
                     rows.append((doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own)))
@@ -164,9 +243,21 @@ class _Stock:
     def times(self, filling: list[int]) -> int:
         return min(self.left[x] // filling.count(x) for x in set(filling))
 
-    def best_fit(self, capacity: int) -> list[int]:
-        """The largest length, then again and again the largest that still fits."""
+    def best_fit(self, capacity: int, smallest: int = 0) -> list[int]:
+        """The largest length, the ``smallest`` ones if they fit, then always the largest that fits."""
         filling, room = [], capacity
+        if smallest:
+            filling, room = [self.lengths[-1]], capacity - self.lengths[-1]
+            for length in self.lengths:
+                while (
+                    len(filling) <= smallest
+                    and length <= room
+                    and filling.count(length) < self.left[length]
+                ):
+                    filling.append(length)
+                    room -= length
+                if len(filling) > smallest or length > room:
+                    break
         while True:
             at = bisect_right(self.lengths, room) - 1
             while at >= 0 and filling.count(self.lengths[at]) >= self.left[self.lengths[at]]:
@@ -238,12 +329,16 @@ def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[list[int], in
     """Fillings (lengths in one bin) and how many bins have each."""
     volume = sum(n * length for length, n in counts.items())
     bound = lower_bound(counts, capacity)
-    stock, best = _Stock(counts), []
-    while stock.lengths:
-        filling = stock.best_fit(capacity)
-        best.append((filling, times := stock.times(filling)))
-        stock.take(filling, times)
-    bins = sum(times for _, times in best)
+    best, bins = [], 0
+    for smallest in range(SMALLEST + 1):
+        stock, plan = _Stock(counts), []
+        while stock.lengths:
+            filling = stock.best_fit(capacity, smallest)
+            plan.append((filling, times := stock.times(filling)))
+            stock.take(filling, times)
+        used = sum(times for _, times in plan)
+        if not best or used < bins:
+            best, bins = plan, used
     for dive in range(DIVES):
         if bins <= bound:
             break
