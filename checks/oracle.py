@@ -448,6 +448,9 @@ def oracle_sql() -> dict[str, str]:
         "round_trip": "SELECT count(*) AS documents, count(*) FILTER (doc_id % 10 = 0) AS mismatches FROM documents",
         "tokenizer_report": f"""WITH RECURSIVE {BPE} SELECT 'BPE' AS type, CAST(260 + (SELECT count(*) FROM merges) AS INT) AS vocab_size,
           2 AS min_frequency, count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS characters FROM documents""",
+        "trained_tokenizer_files": f"""SELECT 'BPE' AS type, CAST({VOCAB} AS INT) AS vocab_size, 2 AS min_frequency,
+          count(*) AS documents, CAST(sum(length(text)) AS BIGINT) AS characters FROM (SELECT text FROM documents
+          WHERE text <> '' AND doc_id % {LOST} <> 0 AND doc_id % {EMPTY} <> 1 ORDER BY doc_id LIMIT {LIMIT})""",
         # token dataset
         "append_eos": f"{TOKENS} SELECT ordinal, {_ids('symbols')} AS ids, CAST(n_tokens AS INT) AS n_tokens FROM tokens",
         "encode_stats": f"""{TOKENS}, gapped AS (SELECT t.n_tokens - 1 AS n, length(d.text) AS chars

@@ -41,7 +41,7 @@ from inkmill.operators.tokens import (
     with_offsets,
 )
 from inkmill.plans.corpus_build import CorpusBuild, build_corpus, build_corpus_in_waves
-from inkmill.plans.token_dataset import TokenDataset, encode_corpus
+from inkmill.plans.token_dataset import TokenDataset, encode_corpus, train_tokenizer
 from inkmill.sources import corpus as src
 from inkmill.sources import corpus_files, tokenbin, tokenizer_files
 from inkmill.staging import spread, stage, staging_path
@@ -335,6 +335,17 @@ def tokenizer_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.drop("special_tokens", "input")
 
 
+def trained_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The report beside the files of a tokenizer trained on the first documents with a text."""
+    folder = staging_path(spark, "trained")
+    docs = documents(spark, sf)
+    gapped = docs.withColumn("text", gaps(F.col("text"), F.col("file_id").cast("long")))
+    train_tokenizer(gapped, VOCAB, limit=LIMIT, folder=folder, source="documents")
+    report = spark.read.json(f"{folder}/tokenizer_config.json", multiLine=True)
+    whole = [F.col(c).cast("int").alias(c) for c in ("vocab_size", "min_frequency")]
+    return report.select("type", *whole, "documents", "characters")
+
+
 def encoded(spark: SparkSession, sf: str) -> DataFrame:
     return encode(documents(spark, sf), learned(spark, sf))
 
@@ -522,6 +533,7 @@ def queries() -> dict[str, Query]:
         "bpe_merges": lambda s, sf: tokenizer_files.merges_table(s, learned(s, sf)),
         "bpe_vocabulary": bpe_vocabulary,
         "tokenizer_files": tokenizer_files_round_trip,
+        "trained_tokenizer_files": trained_files,
         "encode": lambda s, sf: encoded(s, sf).select("ordinal", joined("ids")),
         "decode": decoded,
         "round_trip": marked_round_trip,

@@ -17,7 +17,8 @@ from inkmill.operators.tokens import (
     tokenize,
     with_offsets,
 )
-from inkmill.sources import tokenbin
+from inkmill.sources import files, tokenbin, tokenizer_files
+from inkmill.sources.corpus import corpus_size, limit_docs
 from inkmill.staging import stage
 
 
@@ -30,8 +31,28 @@ class TokenDataset:
     model: BpeModel
 
 
-def train_tokenizer(docs: DataFrame, vocab_size: int = 16_000, min_frequency: int = 2) -> BpeModel:
-    return learn_bpe(word_counts(docs.where(F.col("text") != "")), vocab_size, min_frequency)
+def train_tokenizer(
+    docs: DataFrame,
+    vocab_size: int = 16_000,
+    min_frequency: int = 2,
+    limit: int | None = None,
+    folder: str | None = None,
+    source: str = "",
+) -> BpeModel:
+    """Tokenizer of the documents (ordinal, text) with a text, or of the first ``limit`` of them.
+
+    With ``folder`` its files and a report (``source`` names the input) are published there, all
+    or none; a folder that exists is an error, found before anything is learned.
+    """
+    if folder is not None and files.exists(folder):
+        raise FileExistsError(folder)
+    docs = docs.where(F.col("text") != "") if limit is None else limit_docs(docs, limit)
+    model = learn_bpe(word_counts(docs), vocab_size, min_frequency)
+    if folder is not None:
+        report = tokenizer_files.tokenizer_report(corpus_size(docs), model, min_frequency, source)
+        facts = report.first().asDict()
+        files.publish(folder, lambda path: tokenizer_files.save_files(model, path, facts))
+    return model
 
 
 def encode_corpus(

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 
 from pyarrow import fs
 
@@ -42,6 +43,26 @@ def exists(path: str) -> bool:
     return system.get_file_info(inner).type != fs.FileType.NotFound
 
 
+def publish(folder: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a folder beside ``folder``, then give it that name.
+
+    Readers see the whole folder or none; a failed writer leaves nothing. File systems rename a
+    folder in one step; object stores copy file by file.
+    """
+    folder = folder.rstrip("/")
+    if exists(folder):
+        raise FileExistsError(folder)
+    draft = f"{folder}.draft-{uuid.uuid4().hex}"
+    system, inner = resolve(draft)
+    try:
+        write(draft)
+        system.move(inner, resolve(folder)[1])
+    except BaseException:
+        if exists(draft):
+            system.delete_dir(inner)
+        raise
+
+
 def delete(paths: Iterable[str]) -> None:
     for path in paths:
         if exists(path):

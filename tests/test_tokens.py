@@ -1,3 +1,5 @@
+import json
+import os
 import random
 from collections import Counter
 
@@ -9,8 +11,8 @@ from inkmill.functions.pretokens import SPECIAL_TOKENS, byte_chars, pretokens, s
 from inkmill.operators import bpe, evaluation, tokens
 from inkmill.operators.bpe import BpeModel, learn_bpe, word_counts
 from inkmill.operators.codec import decode, encode, merge_word, round_trip
-from inkmill.plans.token_dataset import encode_corpus, evaluate_tokens, write_token_bins
-from inkmill.sources import tokenbin, tokenizer_files
+from inkmill.plans.token_dataset import encode_corpus, evaluate_tokens, train_tokenizer, write_token_bins
+from inkmill.sources import files, tokenbin, tokenizer_files
 
 WORDS = "le la théâtre vérité monsieur l'ami it's aaaa abab baba 1234 !? 日本語".split()
 
@@ -125,6 +127,34 @@ def test_saved_forms(spark, model, folder):
     assert (again.merges, again.tokens) == (model.merges, model.tokens)
 
 
+def test_trained_files_all_or_none(spark, docs, folder, monkeypatch):
+    rows = [(0, None), (1, ""), *((i, t) for i, t in enumerate(corpus(), 2))]
+    some = spark.createDataFrame(rows, docs.schema)
+    model = train_tokenizer(some, 280, limit=25, folder=f"{folder}/t", source="here")
+    tk = Tokenizer.from_file(f"{folder}/t/tokenizer.json")
+    assert tk.get_vocab() == library(corpus()[:25], 280).get_vocab() and tk.get_vocab_size() == model.vocab_size
+    names = ["merges.txt", "tokenizer.json", "tokenizer_config.json", "vocab.json"]
+    assert os.listdir(folder) == ["t"] and sorted(os.listdir(f"{folder}/t")) == names
+    with open(f"{folder}/t/tokenizer_config.json") as file:
+        report = json.load(file)
+    assert (report["documents"], report["characters"]) == (25, sum(map(len, corpus()[:25])))
+    with pytest.raises(FileExistsError):
+        train_tokenizer(some, 280, folder=f"{folder}/t")
+    written = []
+
+    def failing(path, content):
+        written.append(path)
+        if len(written) == 3:
+            raise OSError("disk full")
+        real(path, content)
+
+    real = files.write_bytes
+    monkeypatch.setattr(files, "write_bytes", failing)
+    with pytest.raises(OSError):
+        train_tokenizer(some, 262, limit=3, folder=f"{folder}/u")
+    assert len(written) == 3 and os.listdir(folder) == ["t"]
+
+
 def test_codec_equals_library(spark, docs, model, folder):
     tokenizer_files.save_files(model, folder)
     tk = Tokenizer.from_file(f"{folder}/tokenizer.json")
