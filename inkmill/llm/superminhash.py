@@ -8,8 +8,9 @@ modulo a prime: any two places are independent in them, which is all that the es
 and variance depend on. The values are drawn round by round for all shingles of a few documents
 at once, and a document stops after round i once no place holds more than i + 1, since later
 rounds only bring larger values. ``BANDS`` bands of ``ROWS``
-places give the bucket keys: two sets with similarity 0.8 miss each other in all of them with
-a probability of 4e-5.
+places give the bucket keys: two sets with similarity 0.8 would miss each other in all of them
+with a probability of 4e-5, were places independent beyond pairs. For very small sets they are not:
+of 6,000 pairs of sets that share 4 of 5 shingles 5 were lost.
 
 Documents with equal sets are one class from the start. Candidates are confirmed on full sets:
 first each member of a bucket with the bucket's smallest member, one pair per class, then all
