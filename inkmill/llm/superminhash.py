@@ -44,6 +44,7 @@ PLACES = ROWS * BANDS
 _PRIME = 449  # places that shingles draw; the prime next to PLACES, which drops the last one
 BROADCAST_IDS = 2_000_000  # one long each; more are joined by shuffle
 SHARE = 80  # link at SHARE hundredths and more
+EXACT = 14  # shingles of a small set, of which a similar set lacks at most two
 _BLOCK = 16_384  # shingles that draw values together
 _BYTES = 1 << 19  # text hashed together
 _SHINGLES = 1 << 16  # of the members, and of the strangers, that meet in a block
@@ -69,6 +70,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 # An odd factor for the fractions of each round.
 _FACTORS = mixed(np.arange(_PRIME, dtype=np.uint64) + _FACTOR) | np.uint64(1)
+# Places in the order in which bands take them.
+_ORDER = np.argsort(mixed(np.arange(PLACES, dtype=np.uint64) + _FACTOR))
 # Hash of a byte at its place in a word; a word's hash is the sum over its bytes.
 _TABLE = mixed(np.arange(_NEAR * 256, dtype=np.uint64) + _GOLDEN)
 
@@ -197,15 +200,36 @@ def _draw(values: np.ndarray, owner: np.ndarray, best: np.ndarray) -> None:
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
     """One 64-bit key per band; the band's number is part of it."""
-    parts = signature.astype(np.uint64).reshape(len(signature), -1, ROWS)
+    parts = signature[:, _ORDER].astype(np.uint64).reshape(len(signature), -1, ROWS)
     keys = np.broadcast_to(mixed(np.arange(parts.shape[1], dtype=np.uint64) + _GOLDEN), parts.shape[:2]).copy()
     for i in range(ROWS):
         keys = mixed((keys * _FACTOR) ^ parts[:, :, i])
     return keys.view(np.int64)
 
 
+def subset_keys(own: np.ndarray) -> np.ndarray | None:
+    """Keys of a small set and of what is left without one or two of its shingles, in that order.
+
+    Only as many are removed as a similar set may lack; None for larger sets.
+    """
+    n = len(own)
+    if n > EXACT:
+        return None
+    lacking = n * (100 - SHARE) // 100
+    hashes = mixed(own ^ _FACTOR)
+    whole = hashes.sum(dtype=np.uint64)
+    left = [np.array([whole])]
+    if lacking > 0:
+        left.append(whole - hashes)
+    if lacking > 1:
+        i, j = np.triu_indices(n, 1)
+        left.append(whole - hashes[i] - hashes[j])
+    size = np.repeat(np.uint64(n) - np.arange(len(left), dtype=np.uint64), [len(part) for part in left])
+    return mixed(np.concatenate(left) ^ mixed(size)).view(np.int64)
+
+
 def sketch(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (128 bits, null if empty), bands of every row."""
+    """doc_id, n_shingles, set_key (128 bits, null if empty), bands, subsets of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,21 +239,24 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
                 filled = [i for i, s in enumerate(sets) if len(s)]
                 keys: list[str | None] = [None] * len(sets)
                 bands: list[np.ndarray | None] = [None] * len(sets)
+                subsets: list[np.ndarray | None] = [None] * len(sets)
                 found = band_keys(signatures([sets[i] for i in filled])) if filled else ()
                 for i, own in zip(filled, found):
                     keys[i] = xxhash.xxh3_128_hexdigest(sets[i].tobytes())
                     bands[i] = own
+                    subsets[i] = subset_keys(sets[i])
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": rows["doc_id"],
                         "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                         "set_key": pa.array(keys, pa.string()),
                         "bands": pa.array(bands, pa.list_(pa.int64())),
+                        "subsets": pa.array(subsets, pa.list_(pa.int64())),
                     }
                 )
 
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    kind = "doc_id long, n_shingles long, set_key string, bands array<long>"
+    kind = "doc_id long, n_shingles long, set_key string, bands array<long>, subsets array<long>"
     return thin.mapInArrow(run, kind)
 
 
@@ -270,7 +297,7 @@ def near_duplicates(docs: DataFrame, words: int) -> DataFrame:
     same = usable.select("doc_id", "set_key").join(classes, "set_key")
     same = same.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
     heads = usable.join(classes, "set_key").where("doc_id = node")
-    heads = heads.select("node", "n_shingles", "bands")
+    heads = heads.select("node", "n_shingles", "bands", "subsets")
     members = heads.select("node", "n_shingles", F.explode("bands").alias("key"))
     # Keys of a single class are most of them; they go before anything else moves.
     shared = members.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
@@ -279,13 +306,15 @@ def near_duplicates(docs: DataFrame, words: int) -> DataFrame:
 
     stars = buckets.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     stars = stage(stars.distinct(), "stars")
-    wanted = small(stage(buckets.select("node").distinct(), "wanted"), BROADCAST_IDS)
+    exact = stage(small_set_pairs(heads), "small-set-pairs")
+    wanted = buckets.select("node").union(exact.select("a")).union(exact.select("b"))
+    wanted = small(stage(wanted.distinct(), "wanted"), BROADCAST_IDS)
     sets = shingle_sets(docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi"), words)
     sets = stage(sets, "sets")
     links = stage(same.distinct(), "links")
 
     nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    tried = stage(nearest, "tried")
+    tried = stage(nearest.union(exact).distinct(), "tried")
     links = links.union(stage(confirmed(tried, sets), "links"))
     roots = components(links)
 
@@ -310,6 +339,27 @@ def near_duplicates(docs: DataFrame, words: int) -> DataFrame:
     )
 
 
+def small_set_pairs(heads: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect all similar classes of small sets.
+
+    In every subset's group the set that lacks the fewest shingles is paired with the others that
+    are similar to it; equal numbers of shingles are broken by node.
+    """
+    lacks = F.when(F.col("pos") == 0, 0).when(F.col("pos") <= F.col("n_shingles"), 1).otherwise(2)
+    keys = heads.where("subsets IS NOT NULL").select("node", "n_shingles", F.posexplode("subsets").alias("pos", "key"))
+    keys = keys.select("key", "node", "n_shingles", lacks.alias("lacks"))
+    # As one number, the least of a group is found in a hash aggregate.
+    nearest = F.min("lacks").alias("least")
+    groups = keys.groupBy("key").agg(nearest, F.min("node").alias("low"), F.max("node").alias("high"))
+    keys = keys.join(groups.where("low <> high").select("key", "least"), "key")
+    left = F.col("n_shingles") - F.col("lacks")
+    similar = (left + F.col("lacks") + F.col("least")) * SHARE <= left * 100
+    keys = keys.where(similar).select("key", "node", "lacks", "least")
+    chosen = keys.where("lacks = least").groupBy("key").agg(F.min("node").alias("head"))
+    pairs = keys.join(chosen, "key").where("node <> head")
+    return pairs.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
+
+
 def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs (a, b) whose ends are not in one component yet."""
     ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))

@@ -60,6 +60,66 @@ def test_against_all_pairs(make_docs):
     assert found(make_docs(rows)) == brute(rows)
 
 
+def test_small_sets_lose_no_link(make_docs):
+    rng = random.Random(8)
+    fresh = iter(f"n{i}" for i in range(10**6))
+    rows = []
+
+    def add(words):
+        rows.append((len(rows), " ".join(words)))
+
+    for _ in range(2000):  # 4 of 5 shingles shared: just similar enough
+        words = [next(fresh) for _ in range(8)]
+        add(words)
+        add(rng.choice([words[1:], words[:-1]]))
+    for n in range(4, 21):  # one more or one less word at either end, a word replaced there
+        for _ in range(60):
+            words = [next(fresh) for _ in range(n + 3)]
+            add(words)
+            add(words[rng.randrange(2) : n + 3 - rng.randrange(3)])
+            add([*words[:-1], next(fresh)])
+    stem = [next(fresh) for _ in range(7)]
+    for _ in range(300):  # one key of very many sets, of which none are similar but to the stem
+        add([*stem, next(fresh)])
+    add(stem)
+    rng.shuffle(rows)
+    assert found(make_docs(rows)) == brute_by_word(rows)
+
+
+def brute_by_word(rows):
+    """Like ``brute``, comparing only texts that share a shingle."""
+    sets = {i: word_set(t) for i, t in rows}
+    holders = {}
+    for i, own in sets.items():
+        for shingle in own:
+            holders.setdefault(shingle, []).append(i)
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for x, own in sets.items():
+        for y in {y for shingle in own for y in holders[shingle] if y > x}:
+            if 100 * len(own & sets[y]) >= 80 * len(own | sets[y]):
+                a, b = sorted((find(x), find(y)))
+                root[b] = a
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+@pytest.mark.parametrize("size", [10, 15, 20, 40])
+def test_bands_rarely_miss_at_the_threshold(size):
+    rng = np.random.default_rng(size)
+    n = 3000
+    x = rng.integers(0, 2**63, (n, size + size // 4)).astype(np.uint64)  # similarity 0.8
+    both, odd = x[:, :size], size // 8
+    a, b = np.concatenate([both, x[:, size : size + odd]], axis=1), np.concatenate([both, x[:, size + odd :]], axis=1)
+    left, right = op.band_keys(op.signatures(list(a))), op.band_keys(op.signatures(list(b)))
+    lost = int((~(left == right).any(axis=1)).sum())
+    assert lost <= 3  # 4e-5 of 3,000 are 0.12
+
+
 def test_chain_and_large_group(make_docs):
     rng = random.Random(6)
     words = [f"c{i}" for i in range(200)]
