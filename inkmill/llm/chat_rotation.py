@@ -5,14 +5,14 @@ assistant and all others as named users. The mask marks the assistant's words an
 as character spans of the text. Roles in ``SYSTEM_ROLES`` keep their role and are no
 participants.
 
-A conversation is cut into segments of ``SEGMENT_TURNS`` consecutive turn numbers, so that no
-row or task grows with a long conversation; every segment is rendered for every participant of
-the whole conversation. Shorter conversations are one row per participant.
+Every conversation is one row per participant, however long it is. With ``segment_turns`` set, it
+is cut into segments of that many consecutive turn numbers, each rendered for every participant
+of the whole conversation, for readers that need a bound on the size of a row.
 
 Defined cases: messages that agree in conversation, turn, role and text are one message. Within
 a turn, messages are ordered by role, then text. A null or empty role is the participant
-``unknown``; a null text is empty; a null turn comes first, in a segment of its own; rows with
-a null conv_id form one conversation. Conversations without participants give no rows.
+``unknown``; a null text is empty; a null turn comes first (in a segment of its own, if there are
+several); rows with a null conv_id form one conversation. Conversations without participants give no rows.
 """
 
 from __future__ import annotations
@@ -20,20 +20,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SEGMENT_TURNS = 64
 SYSTEM_ROLES = ("system",)
 UNKNOWN = "unknown"
 BEGIN, END = "<|{role}|>\n", "<|end|>\n"
 
 
-def rotate(turns: DataFrame, segment_turns: int = SEGMENT_TURNS) -> DataFrame:
+def rotate(turns: DataFrame, segment_turns: int | None = None) -> DataFrame:
     """conv_id, speaker, segment, n_messages, n_own, messages, text, spans (of start, end)."""
     role = F.when(F.length("role") > 0, F.col("role")).otherwise(UNKNOWN)
     rows = turns.select(
         "conv_id", "turn", F.coalesce(role, F.lit(UNKNOWN)).alias("name"), F.coalesce("text", F.lit("")).alias("text")
     )
     people = rows.where(~F.col("name").isin(*SYSTEM_ROLES)).select("conv_id", F.col("name").alias("speaker")).distinct()
-    segment = F.coalesce(F.floor(F.col("turn") / segment_turns), F.lit(None).cast("long"))
+    segment = F.floor(F.col("turn") / segment_turns) if segment_turns else F.lit(0).cast("long")
     segments = rows.distinct().groupBy("conv_id", segment.alias("segment")).agg(
         F.sort_array(F.collect_list(F.struct("turn", "name", "text"))).alias("dialogue")
     )

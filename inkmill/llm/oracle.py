@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from inkmill.llm.chat_rotation import SEGMENT_TURNS
 from inkmill.llm.settings import RULES, WORDS
 from inkmill.llm.url_filter import _BIN_WIDTH, BINS, MASS, ORDER
 
@@ -108,7 +107,7 @@ FROM ruled LEFT JOIN scored USING (text), cut
 OP4 = f"""
 WITH m AS (
   SELECT DISTINCT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS name, coalesce(text, '') AS text,
-         floor(turn / {SEGMENT_TURNS}.0)::BIGINT AS segment
+         0::BIGINT AS segment
   FROM conversations
 ), p AS (
   SELECT DISTINCT conv_id, name AS speaker FROM m WHERE name <> 'system'

@@ -217,10 +217,11 @@ TURNS = [
     (None, 0, "ann", "lost"),
     (4, 5, "ann", "one"),
     (4, 70, "bob", "two"),
+    *[(5, i, ("ann", "bob", "cy")[i % 3], f"turn {i} " + "long " * (20_000 * (i == 77))) for i in range(130)],
 ]
 
 
-def brute_chats(turns):
+def brute_chats(turns, segment_turns=None):
     talks = defaultdict(set)
     for conv, turn, role, text in turns:
         talks[conv].add((turn, role or "unknown", text or ""))
@@ -229,7 +230,8 @@ def brute_chats(turns):
         for speaker in {m[1] for m in messages} - {"system"}:
             parts = defaultdict(list)
             for m in sorted(messages, key=lambda m: (m[0] is not None, m[0] or 0, *m[1:])):
-                parts[None if m[0] is None else m[0] // 64].append(m)
+                part = 0 if segment_turns is None else m[0] if m[0] is None else m[0] // segment_turns
+                parts[part].append(m)
             for segment, part in parts.items():
                 text, spans = "", []
                 for _, name, words in part:
@@ -245,15 +247,17 @@ def brute_chats(turns):
     return sorted(out, key=repr)
 
 
-def test_chats_against_brute_force(spark):
+@pytest.mark.parametrize("segment_turns", [None, 64])
+def test_chats_against_brute_force(spark, segment_turns):
     kind = "conv_id long, turn long, role string, text string"
-    df = chat_rotation.rotate(spark.createDataFrame(TURNS, kind).withColumn("speaker", F.lit("clash")))
+    turns = spark.createDataFrame(TURNS, kind).withColumn("speaker", F.lit("clash"))
+    df = chat_rotation.rotate(turns, segment_turns)
     got = [
         (r["conv_id"], r["speaker"], r["segment"], r["n_messages"], r["n_own"], r["text"],
          [tuple(s) for s in r["spans"]])
         for r in df.collect()
     ]
-    assert sorted(got, key=repr) == brute_chats(TURNS)
+    assert sorted(got, key=repr) == brute_chats(TURNS, segment_turns)
     for r in df.collect():
         own = [m["content"] + "<|end|>\n" for m in r["messages"] if m["mask"]]
         assert [r["text"][s["start"] : s["end"]] for s in r["spans"]] == own
