@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,9 @@ TEXT_CANDIDATES = [
     "raw_text",
 ]
 SAMPLE_CHARS = 300
+_BLOCK = 32_768  # code points of a bitmap, as Spark's bitmap functions have it
+_CODE_POINTS = 34 * _BLOCK
+_STEP = 1 << 20  # bytes looked at together
 
 
 def detect_text_column(schema: T.StructType, forced: str | None = None) -> str:
@@ -69,24 +74,116 @@ def _profile_input(source: DataFrame, column: str) -> DataFrame:
     )
 
 
-def profile_files(rows: DataFrame) -> DataFrame:
-    """One row per file. The sample is the start of its first non-blank document."""
+def profile_parts(rows: DataFrame) -> DataFrame:
+    """Everything that profiles need, from one scan: one small row per file and block of characters.
+
+    Rows with ``block`` -1 hold a file's counts and first document, the others a bitmap of the
+    code points of a block. A task keeps one bitmap of all code points for the file that it reads,
+    whatever the length of a text, and sends only blocks that occur.
+    """
     text = F.when(strip(F.col("text")) != "", F.col("text"))
-    rows = rows.select("file", "position", text.alias("text"))
-    rows = rows.select(
-        "file",
-        "position",
-        F.length("text").alias("n"),
-        F.substring("text", 1, SAMPLE_CHARS).alias("head"),
+    rows = rows.select("file", "position", F.length(text).alias("n"), text.alias("text"))
+    kind = "file string, block int, rows long, docs long, chars long, first struct<position:long,head:string>, bits binary"
+    return (
+        rows.mapInArrow(_collect_parts, kind)
+        .groupBy("file", "block")
+        .agg(
+            F.sum("rows").alias("rows"),
+            F.sum("docs").alias("docs"),
+            F.sum("chars").alias("chars"),
+            F.min("first").alias("first"),
+            F.bitmap_or_agg("bits").alias("bits"),
+        )
     )
-    first = F.min(F.when(F.col("n").isNotNull(), F.struct("position", "head")))
+
+
+class _FilePart:
+    """What a task has seen of one file."""
+
+    def __init__(self, file: str) -> None:
+        self.file = file
+        self.rows = self.docs = self.chars = 0
+        self.first: tuple[int, str] | None = None
+        self.seen = np.zeros(_CODE_POINTS, bool)
+
+    def add(self, batch: pa.RecordBatch) -> None:
+        self.rows += batch.num_rows
+        batch = batch.filter(pc.is_valid(batch["n"]))
+        if not batch.num_rows:
+            return
+        self.docs += batch.num_rows
+        self.chars += pc.sum(batch["n"]).as_py()
+        at = int(np.argmin(batch["position"].to_numpy()))
+        position = batch["position"][at].as_py()
+        if self.first is None or position < self.first[0]:
+            self.first = (position, batch["text"][at].as_py()[:SAMPLE_CHARS])
+        texts = batch["text"].cast(pa.large_string())
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]]
+        for start in range(0, len(raw), _STEP):
+            part = raw[start : start + _STEP]
+            self.seen[:128] |= np.bincount(part, minlength=256)[:128] > 0
+        # All bytes from 128 up are whole characters, however they lie among the others.
+        wide = raw[raw >= 128]
+        start = 0
+        while start < len(wide):
+            end = start + _STEP
+            while end < len(wide) and wide[end] & 0xC0 == 0x80:
+                end += 1
+            codes = wide[start:end].tobytes().decode("utf-8", "replace").encode("utf-32-le")
+            self.seen[np.frombuffer(codes, np.uint32)] = True
+            start = end
+
+    def result(self) -> pa.RecordBatch:
+        blocks = self.seen.reshape(-1, _BLOCK)
+        used = np.flatnonzero(blocks.any(axis=1))
+        none = [None] * len(used)
+        first = dict(zip(("position", "head"), self.first)) if self.first else None
+        bits = [np.packbits(blocks[i], bitorder="little").tobytes() for i in used]
+        head = pa.struct([("position", pa.int64()), ("head", pa.string())])
+        return pa.RecordBatch.from_pydict(
+            {
+                "file": pa.array([self.file] * (len(used) + 1), pa.string()),
+                "block": pa.array([-1, *used.tolist()], pa.int32()),
+                "rows": pa.array([self.rows, *none], pa.int64()),
+                "docs": pa.array([self.docs, *none], pa.int64()),
+                "chars": pa.array([self.chars, *none], pa.int64()),
+                "first": pa.array([first, *none], head),
+                "bits": pa.array([None, *bits], pa.binary()),
+            }
+        )
+
+
+def _collect_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part = None
+    for batch in batches:
+        names = batch["file"].dictionary_encode()
+        codes = names.indices.to_numpy()
+        cuts = np.flatnonzero(np.diff(codes)) + 1
+        for start, end in zip([0, *cuts], [*cuts, len(codes)]):
+            if start == end:
+                continue
+            name = names.dictionary[int(codes[start])].as_py()
+            if part is None or part.file != name:
+                if part is not None:
+                    yield part.result()
+                part = _FilePart(name)
+            part.add(batch.slice(start, end - start))
+    if part is not None:
+        yield part.result()
+
+
+def _file_rows(parts: DataFrame) -> DataFrame:
+    """One row per file. The sample is the start of its first non-blank document."""
     return (
-        rows.groupBy("file")
+        parts.groupBy("file")
         .agg(
-            F.count("*").alias("rows"),
-            F.count("n").alias("non_empty_docs"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("chars"),
-            F.coalesce(first["head"], F.lit("")).alias("sample"),
+            _sum("rows").alias("rows"),
+            _sum("docs").alias("non_empty_docs"),
+            _sum("chars").alias("chars"),
+            F.coalesce(F.min("first")["head"], F.lit("")).alias("sample"),
+            F.sum(F.bitmap_count("bits")).alias("unique_chars"),
         )
         .select(
             "file",
@@ -96,65 +193,68 @@ def profile_files(rows: DataFrame) -> DataFrame:
             F.col("chars").alias("char_tokens"),
             F.floor(F.col("chars") / 4).alias("bpe_estimate"),
             "sample",
+            "unique_chars",
         )
     )
 
 
-def file_alphabet(rows: DataFrame) -> DataFrame:
-    """Distinct (file, character) of the non-blank documents.
-
-    Each document gives a character once, each task each (file, character) once, so the
-    shuffle is bounded by the alphabet, not by the text.
-    """
-    chars = F.explode(F.array_distinct(F.split("text", "")))
-    return (
-        rows.where(strip(F.col("text")) != "")
-        .select("file", chars.alias("character"))
-        .where(F.col("character") != "")
-        .distinct()
+def _global_row(parts: DataFrame) -> DataFrame:
+    """One row over all files; the token estimate comes from the total, not from floors."""
+    first = F.struct("file", "first")
+    blocks = parts.groupBy("block").agg(
+        F.count("*").alias("files"),
+        _sum("rows").alias("rows"),
+        _sum("docs").alias("docs"),
+        _sum("chars").alias("chars"),
+        F.min(F.when(F.col("first").isNotNull(), first))["first"]["head"].alias("head"),
+        F.bitmap_count(F.bitmap_or_agg("bits")).alias("seen"),
+    )
+    return blocks.agg(
+        _sum(F.when(F.col("block") == -1, F.col("files"))).alias("files"),
+        _sum("rows").alias("rows"),
+        _sum("docs").alias("non_empty_docs"),
+        _sum("chars").alias("chars"),
+        F.floor(_sum("chars") / 4).alias("bpe_estimate"),
+        F.coalesce(F.max("head"), F.lit("")).alias("sample"),
+        _sum("seen").alias("unique_chars"),
     )
 
 
-def unique_chars_per_file(rows: DataFrame) -> DataFrame:
-    return file_alphabet(rows).groupBy("file").agg(F.count("*").alias("unique_chars"))
+def _sum(column: str | Column) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0))
 
 
 def profile(rows: DataFrame) -> DataFrame:
-    """``profile_files`` with the number of distinct characters."""
-    alphabet = unique_chars_per_file(rows)
-    return (
-        profile_files(rows)
-        .join(alphabet, "file", "left")
-        .withColumn("unique_chars", F.coalesce("unique_chars", F.lit(0)))
-    )
+    """One row per file: counts, sample and the number of distinct characters."""
+    return _file_rows(profile_parts(rows))
+
+
+def profile_files(rows: DataFrame) -> DataFrame:
+    return profile(rows).drop("unique_chars")
+
+
+def unique_chars_per_file(rows: DataFrame) -> DataFrame:
+    files = profile(rows).where("unique_chars > 0")
+    return files.select("file", "unique_chars")
 
 
 def global_profile(rows: DataFrame) -> DataFrame:
-    """One row over all files; the token estimate comes from the total, not from floors."""
-    return _global_row(profile_files(rows), file_alphabet(rows))
+    return _global_row(profile_parts(rows))
 
 
-def _global_row(files: DataFrame, alphabet: DataFrame) -> DataFrame:
-    """Sums over the rows of ``profile_files`` and the characters of ``file_alphabet``."""
-    first = F.min(F.when(F.col("sample") != "", F.struct("file", "sample")))
-    totals = files.agg(
-        F.count("*").alias("files"),
-        _sum("rows").alias("rows"),
-        _sum("non_empty_docs").alias("non_empty_docs"),
-        _sum("chars").alias("chars"),
-        F.floor(_sum("chars") / 4).alias("bpe_estimate"),
-        F.coalesce(first["sample"], F.lit("")).alias("sample"),
-    )
-    alphabet = alphabet.agg(F.countDistinct("character").alias("unique_chars"))
-    return (
-        totals.withColumn("_one", F.lit(1))
-        .join(alphabet.withColumn("_one", F.lit(1)), "_one")
-        .drop("_one")
-    )
+def file_alphabet(rows: DataFrame) -> DataFrame:
+    """Distinct (file, character) of the non-blank documents."""
 
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                bits = np.frombuffer(batch["bits"][row].as_py(), np.uint8)
+                codes = np.flatnonzero(np.unpackbits(bits, bitorder="little")) + batch["block"][row].as_py() * _BLOCK
+                names = [batch["file"][row].as_py()] * len(codes)
+                yield pa.RecordBatch.from_pydict({"file": names, "character": [chr(c) for c in codes]})
 
-def _sum(column: str) -> Column:
-    return F.coalesce(F.sum(column), F.lit(0))
+    blocks = profile_parts(rows).where("block >= 0").select("file", "block", "bits")
+    return blocks.mapInArrow(spell, "file string, character string")
 
 
 @dataclass
@@ -197,10 +297,8 @@ def profile_folder(
         rows = part if rows is None else rows.unionByName(part)
     if rows is None:
         raise FileNotFoundError(f"no readable Parquet file matches {glob!r} in {folder}")
-    read = stage(profile_files(rows), "file-profiles")
-    alphabet = stage(file_alphabet(rows), "alphabet")
-    sizes = alphabet.groupBy("file").agg(F.count("*").alias("unique_chars"))
-    joined = footers.join(read, "file", "left").join(sizes, "file", "left")
+    parts = stage(profile_parts(rows), "profile-parts")
+    joined = footers.join(_file_rows(parts), "file", "left")
     seen = F.coalesce("rows", F.lit(0))
     short = F.concat(F.lit("read "), seen.cast("string"), F.lit(" of "), F.col("n_rows").cast("string"), F.lit(" rows"))
     error = F.coalesce("error", F.when(seen != F.col("n_rows"), short))
@@ -213,9 +311,11 @@ def profile_folder(
         F.coalesce("sample", F.lit("")).alias("sample"),
     )
     good = stage(good, "good-files")
+    n_good = good.count()  # files without rows have no parts
     failed = stage(joined.where("error IS NOT NULL").select("file", "error"), "failed-files")
-    total = _global_row(good, alphabet.join(good.select("file"), "file", "left_semi"))
-    return FolderProfile(good, total, good.count(), failed)
+    total = _global_row(parts.join(good.select("file"), "file", "left_semi"))
+    total = total.withColumn("files", F.lit(n_good).cast("long"))
+    return FolderProfile(good, total, n_good, failed)
 
 
 def _text_columns(forced: str | None):

@@ -38,6 +38,28 @@ def test_profile(spark, folder):
     assert total["unique_chars"] == len(set(long_text + "ab\nbc\U0001f600"))
 
 
+def test_one_scan_and_exact_alphabet(spark, folder, monkeypatch):
+    monkeypatch.setattr(p, "_STEP", 7)  # characters meet the ends of the steps
+    texts = {
+        "a": ["é\U0001f600x" * 50, "   ", "\U0010ffff\ufffd\n", "ab" * 20_000],
+        "b": ["日本語" * 9 + "z", None, "\ud7ff\ue000q"],
+    }
+    for name, rows in texts.items():
+        pq.write_table(pa.table({"text": rows}), f"{folder}/{name}.parquet")
+    rows = p.read_for_profile(spark, folder)
+    want = {f"{name}.parquet": set("".join(t for t in part if t and t.strip())) for name, part in texts.items()}
+    got = {}
+    for r in p.file_alphabet(rows).collect():
+        got.setdefault(r["file"], []).append(r["character"])
+    assert {f: sorted(c) for f, c in got.items()} == {f: sorted(c) for f, c in want.items()}
+    files, total = p.profile(rows), p.global_profile(rows)
+    assert {r["file"]: r["unique_chars"] for r in files.collect()} == {f: len(c) for f, c in want.items()}
+    assert total.first()["unique_chars"] == len(set().union(*want.values()))
+    assert total.first()["sample"] == texts["a"][0]
+    for df in (files, total, p.file_alphabet(rows)):
+        assert df._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+
+
 def test_bad_files_are_counted(spark, folder):
     pq.write_table(pa.table({"text": ["abc"]}), f"{folder}/a.parquet")
     pq.write_table(pa.table({"x": ["q"], "y": ["r"]}), f"{folder}/b.parquet")
