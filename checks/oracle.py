@@ -9,10 +9,12 @@ from checks.settings import (
     ADD_K,
     BLOCK,
     BUDGET,
+    DRAWS,
     LIMIT,
     MERGES,
     MIN_CHARS,
     SEED,
+    SHARD,
     STRIDE,
     TEMPERATURE,
     TOP_K,
@@ -305,11 +307,32 @@ scored AS (SELECT t.prev, t.next, t.n,
   FROM targets t LEFT JOIN train_pairs p USING (prev, next) LEFT JOIN contexts c USING (prev)
   LEFT JOIN leaders l USING (prev))"""
 SCORED = f"{WINDOW}, {COMPARED}"
+BY_DRAW = f"""draws AS (SELECT unnest({list(DRAWS)}) AS draw, unnest({list(DRAWS.values())}) AS n),
+drawn AS (SELECT draw, unnest(range(n)) AS w FROM draws),
+starts AS (SELECT split, draw, stream, ('0x' || substr(md5('{SEED}|' || split || '|' || draw || '|' || w), 1, 15))::BIGINT
+  % (total - {BLOCK} - 1) AS start FROM streams, drawn),
+windows AS (SELECT split, draw, substr(stream, start + 1, {BLOCK}) AS x,
+  substr(stream, start + 2, {BLOCK}) AS y FROM starts)"""
 REPORT = f"""totals AS (SELECT CAST(sum(n) AS BIGINT) AS tokens, sum(-logprob * n) / sum(n) AS loss,
     sum(n) FILTER (predicted = next) AS correct FROM scored)
   SELECT tokens, round(loss, 7) AS loss, round(exp(loss), 6) AS perplexity,
     round({VOCAB} / exp(loss), 6) AS gain_over_uniform, round(100.0 * correct / tokens, 6) AS accuracy FROM totals"""
 TOKENS = f"WITH RECURSIVE {ENCODED}"
+
+
+def by_draw(sql: str) -> str:
+    """Targets, scores and report once more, with a row per split and draw."""
+    return (
+        sql.replace("SELECT prev, next, count(*) AS n FROM (\n  SELECT unicode(unnest",
+                    "SELECT split, draw, prev, next, count(*) AS n FROM (\n  SELECT split, draw, unicode(unnest")
+        .replace("FROM windows) GROUP BY prev, next", "FROM windows) GROUP BY ALL")
+        .replace("SELECT t.prev", "SELECT t.split, t.draw, t.prev")
+        .replace("totals AS (SELECT", "totals AS (SELECT split, draw,")
+        .replace("FROM scored)", "FROM scored GROUP BY ALL)")
+        .replace("SELECT tokens, round", "SELECT split, draw, tokens, round")
+    )
+
+
 N_DOCS = "(SELECT count(*) FROM documents)"
 
 
@@ -461,6 +484,15 @@ def oracle_sql() -> dict[str, str]:
           CAST(sum(n) AS BIGINT) AS tokens FROM gapped""",
         "token_offsets": f"{TOKENS} SELECT split, ordinal, CAST(n_tokens AS INT) AS n_tokens, start_offset FROM placed_tokens",
         "token_windows": f"{TOKENS}, {WINDOW} SELECT window_id, start, {_ids('x')} AS x, {_ids('y')} AS y FROM windows",
+        "token_bin_windows": f"{TOKENS}, {WINDOW} SELECT window_id, start, {_ids('x')} AS x, {_ids('y')} AS y FROM windows",
+        "token_bin_shards": f"""{TOKENS} SELECT split, 'uint16' AS dtype, "offset", least({SHARD}, total - "offset") AS tokens
+          FROM (SELECT split, total, unnest(range(0, total, {SHARD})) AS "offset" FROM streams)""",
+        "encode_stats_by_split": f"""{TOKENS}, gapped AS (SELECT t.split, t.n_tokens AS n, length(d.text) AS chars,
+          d.text <> '' AND d.doc_id % {LOST} <> 0 AND d.doc_id % {EMPTY} <> 1 AS valid
+          FROM documents d JOIN tokens t ON t.ordinal = d.doc_id + 1)
+          SELECT split, count(*) AS docs_seen, count(*) FILTER (valid) AS docs_written,
+          count(*) FILTER (valid AND n = 0) AS empty_docs, CAST(sum(chars) FILTER (valid) AS BIGINT) AS characters,
+          CAST(sum(n) FILTER (valid) AS BIGINT) AS tokens FROM gapped GROUP BY split""",
         "dataset_meta": f"""{TOKENS} SELECT {VOCAB} AS vocab_size, 'uint16' AS dtype, {BLOCK} AS block_size,
           true AS append_eos, 3 AS eos_id,
           CAST(sum(n_tokens) FILTER (split = 'train') AS BIGINT) AS train_tokens,
@@ -471,6 +503,8 @@ def oracle_sql() -> dict[str, str]:
         "bigram_scores": f"{TOKENS}, {SCORED} SELECT prev, next, n, round(logprob, 9) AS logprob, predicted FROM scored",
         "evaluation_report": f"{TOKENS}, {SCORED}, {REPORT}",
         "random_window_evaluation": f"{TOKENS}, {RANDOM}, {COMPARED}, {REPORT}",
+        "token_bin_evaluation": f"{TOKENS}, {SCORED}, {REPORT}",
+        "split_evaluation": f"{TOKENS}, {BY_DRAW}, {by_draw(COMPARED)}, {by_draw(REPORT)}",
         "top_k_distribution": f"""{TOKENS}, {PAIRS}, ranked AS (SELECT prev AS context, next AS token,
             ln(n) / {TEMPERATURE} AS logit, rank() OVER (PARTITION BY prev ORDER BY n DESC) AS place FROM train_pairs)
           SELECT context, token, round(exp(logit) / sum(exp(logit)) OVER w, 9) AS probability

@@ -12,9 +12,11 @@ from checks.settings import (
     ADD_K,
     BLOCK,
     BUDGET,
+    DRAWS,
     LIMIT,
     MIN_CHARS,
     SEED,
+    SHARD,
     STRIDE,
     TEMPERATURE,
     TOP_K,
@@ -41,7 +43,13 @@ from inkmill.operators.tokens import (
     with_offsets,
 )
 from inkmill.plans.corpus_build import CorpusBuild, build_corpus, build_corpus_in_waves
-from inkmill.plans.token_dataset import TokenDataset, encode_corpus, train_tokenizer
+from inkmill.plans.token_dataset import (
+    TokenDataset,
+    encode_corpus,
+    evaluate_splits,
+    train_tokenizer,
+    write_token_bins,
+)
 from inkmill.sources import corpus as src
 from inkmill.sources import corpus_files, tokenbin, tokenizer_files
 from inkmill.staging import spread, stage, staging_path
@@ -385,14 +393,63 @@ def dataset(spark: SparkSession, sf: str) -> TokenDataset:
     return encode_corpus(docs, learned(spark, sf), BLOCK)
 
 
-def windows(spark: SparkSession, data: TokenDataset) -> DataFrame:
-    held_out = data.tokens.where(F.col("split") == "val")
+def starts(spark: SparkSession, data: TokenDataset) -> DataFrame:
     n_tokens = data.meta.select("val_tokens").first()[0]
-    starts = spark.range(WINDOWS).select(
+    return spark.range(WINDOWS).select(
         F.col("id").alias("window_id"),
         ((F.col("id") * STRIDE) % (n_tokens - BLOCK - 1)).alias("start"),
     )
-    return token_windows(held_out, starts, BLOCK, WINDOWS)
+
+
+def windows(spark: SparkSession, data: TokenDataset) -> DataFrame:
+    held_out = data.tokens.where(F.col("split") == "val")
+    return token_windows(held_out, starts(spark, data), BLOCK, WINDOWS)
+
+
+def written_windows(spark: SparkSession, data: TokenDataset) -> DataFrame:
+    """The same windows, read from the files of the held-out stream."""
+    folder = staging_path(spark, "bins")
+    write_token_bins(data, folder, SHARD)
+    return tokenbin.read_windows(starts(spark, data), f"{folder}/val", BLOCK)
+
+
+def token_bin_windows(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = written_windows(spark, dataset(spark, sf))
+    return drawn.select("window_id", "start", joined("x"), joined("y"))
+
+
+def token_bin_evaluation(spark: SparkSession, sf: str) -> DataFrame:
+    data = dataset(spark, sf)
+    targets = evaluation.window_pairs(written_windows(spark, data))
+    train = stage(train_pairs(data), "pairs")
+    scored = evaluation.score_pairs(targets, train, data.model.vocab_size, ADD_K)
+    return rounded(evaluation.evaluation_report(scored, VOCAB))
+
+
+def token_bin_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """Place and size of every shard of both written streams."""
+    folder = staging_path(spark, "bins")
+    write_token_bins(dataset(spark, sf), folder, SHARD)
+    listed = spark.read.json([f"{folder}/{s}/{tokenbin.MANIFEST}" for s in ("train", "val")], multiLine=True)
+    split = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("split")
+    return listed.select(split, "dtype", F.explode("shards").alias("s")).select(
+        "split", "dtype", "s.offset", "s.tokens"
+    )
+
+
+def stats_by_split(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of an encoding of JSON lines that were written by split, some without a text."""
+    docs = selection.with_identity(documents(spark, sf), VAL_RATIO)
+    text = gaps(F.col("text"), F.col("file_id").cast("long")).alias("text")
+    folder = staging_path(spark, "split-jsonl")
+    docs.select("split", text).write.partitionBy("split").json(folder)
+    parts = src.read_split_texts(spark, {s: f"{folder}/split={s}" for s in ("train", "val")})
+    return encode_corpus(parts, learned(spark, sf), BLOCK).stats
+
+
+def split_evaluation(spark: SparkSession, sf: str) -> DataFrame:
+    data = dataset(spark, sf)
+    return rounded(evaluate_splits(data.tokens, VOCAB, BLOCK, DRAWS, SEED, ADD_K))
 
 
 def given_windows(spark: SparkSession, sf: str) -> DataFrame:
@@ -545,6 +602,9 @@ def queries() -> dict[str, Query]:
             "split", "ordinal", "n_tokens", "start_offset"
         ),
         "token_windows": given_windows,
+        "token_bin_windows": token_bin_windows,
+        "token_bin_shards": token_bin_shards,
+        "encode_stats_by_split": stats_by_split,
         "dataset_meta": lambda s, sf: dataset(s, sf).meta.drop(
             "tokenizer_path", "train_jsonl", "val_jsonl"
         ),
@@ -555,5 +615,7 @@ def queries() -> dict[str, Query]:
         ),
         "evaluation_report": evaluation_report,
         "random_window_evaluation": random_window_evaluation,
+        "token_bin_evaluation": token_bin_evaluation,
+        "split_evaluation": split_evaluation,
         "top_k_distribution": top_k,
     }

@@ -9,6 +9,8 @@ VOCAB = 300
 MERGES = VOCAB - 260
 BLOCK = 64
 WINDOWS = 500
+DRAWS = {"loss": 400, "accuracy": 100}
+SHARD = 10_000  # tokens
 STRIDE = 104_729  # spreads the given window starts over the stream
 SEED = 7
 ADD_K = 1.0

@@ -32,20 +32,25 @@ def stream_pairs(tokens: DataFrame) -> DataFrame:
     return pairs.groupBy("prev", "next").agg(F.count("*").alias("n"))
 
 
-def window_pairs(windows: DataFrame) -> DataFrame:
-    """Counts of (context token, target) over windows ``x``, ``y``."""
-    pairs = windows.select(F.explode(F.arrays_zip("x", "y")).alias("p"))
-    pairs = pairs.select(F.col("p.x").alias("prev"), F.col("p.y").alias("next"))
-    return pairs.groupBy("prev", "next").agg(F.count("*").alias("n"))
+def window_pairs(windows: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Counts of (context token, target) over windows ``x``, ``y``, per key."""
+    keys = keys or []
+    pairs = windows.select(*keys, F.explode(F.arrays_zip("x", "y")).alias("p"))
+    pairs = pairs.select(*keys, F.col("p.x").alias("prev"), F.col("p.y").alias("next"))
+    return pairs.groupBy(*keys, "prev", "next").agg(F.count("*").alias("n"))
 
 
 def score_pairs(
-    targets: DataFrame, train: DataFrame, vocab_size: int, add_k: float = 1.0
+    targets: DataFrame,
+    train: DataFrame,
+    vocab_size: int,
+    add_k: float = 1.0,
+    keys: list[str] | None = None,
 ) -> DataFrame:
     """Score distinct (prev, next) targets with a smoothed bigram model.
 
-    ``targets`` and ``train`` hold each pair once with its count ``n``, so neither join side
-    has a repeated key and a very frequent token makes no skewed task. Returns prev, next,
+    ``targets`` (per key) and ``train`` hold each pair once with its count ``n``, so neither join side
+    has a repeated key and a very frequent token makes no skewed task. Returns the keys, prev, next,
     n, logprob and the predicted token (most frequent follower, smaller id on ties; for an
     unseen context the most frequent token).
     """
@@ -62,6 +67,7 @@ def score_pairs(
     context_n = F.coalesce("context_n", F.lit(0))
     probability = (pair_n + F.lit(float(add_k))) / (context_n + F.lit(float(add_k * vocab_size)))
     return joined.select(
+        *(keys or []),
         "prev",
         "next",
         "n",

@@ -46,17 +46,22 @@ def tokenize(docs: DataFrame, model: BpeModel, with_eos: bool = True) -> DataFra
 def encode_stats(docs: DataFrame, model: BpeModel, with_eos: bool = True) -> DataFrame:
     """One row: documents seen, those with text, of these without tokens, characters, tokens."""
     ids = append_eos(F.col("ids"), eos_id(model) if with_eos else None)
-    coded = encode(docs.select("text"), model).select("text", F.size(ids).alias("n_tokens"))
-    valid = F.col("text") != ""
+    coded = encode(docs.select("text"), model)
+    return encoded_totals(coded.select(F.length("text").alias("chars"), F.size(ids).alias("n_tokens")))
+
+
+def encoded_totals(coded: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The columns of ``encode_stats`` per key, from ``chars`` (null: no text) and ``n_tokens``."""
+    valid = F.col("chars") > 0
 
     def total(value: Column) -> Column:
         return F.coalesce(F.sum(F.when(valid, value)), F.lit(0))
 
-    return coded.agg(
+    return coded.groupBy(*(keys or [])).agg(
         F.count("*").alias("docs_seen"),
         total(F.lit(1)).alias("docs_written"),
         total((F.col("n_tokens") == 0).cast("int")).alias("empty_docs"),
-        total(F.length("text")).alias("characters"),
+        total(F.col("chars")).alias("characters"),
         total(F.col("n_tokens")).alias("tokens"),
     )
 
@@ -87,17 +92,47 @@ def random_starts(
     """
     if n_tokens <= block_size + 1:
         raise ValueError(f"{n_tokens} tokens are too few for windows of {block_size}")
-    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("id").cast("string")).cast("binary"))
-    draw = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % (n_tokens - block_size - 1)
-    return spark.range(n_windows).select(F.col("id").alias("window_id"), draw.alias("start"))
+    place = _drawn(F.lit(str(seed)), F.col("id")) % (n_tokens - block_size - 1)
+    return spark.range(n_windows).select(F.col("id").alias("window_id"), place.alias("start"))
+
+
+def _drawn(*parts: Column) -> Column:
+    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+def random_starts_by_split(
+    totals: DataFrame, draws: dict[str, int], block_size: int, seed: int = 0
+) -> DataFrame:
+    """Window starts like ``random_starts`` for every split and draw: split, draw, window_id, start.
+
+    ``totals`` has one row per split with its ``n_tokens``; ``draws`` names the draws with their
+    numbers of windows. A split with too few tokens is an error.
+    """
+    named = [F.struct(F.lit(d).alias("draw"), F.lit(n).alias("n")) for d, n in draws.items() if n > 0]
+    drawn = totals.select("split", "n_tokens", F.explode(F.array(*named)).alias("d"))
+    drawn = drawn.select(
+        "split", "n_tokens", "d.draw", F.explode(F.sequence(F.lit(0), F.col("d.n") - 1)).alias("id")
+    )
+    room = F.col("n_tokens") - (block_size + 1)
+    room = F.when(room > 0, room).otherwise(
+        F.raise_error(F.concat(F.lit("too few tokens in split "), F.col("split"))).cast("long")
+    )
+    place = _drawn(F.lit(str(seed)), F.col("split"), F.col("draw"), F.col("id")) % room
+    return drawn.select("split", "draw", F.col("id").cast("long").alias("window_id"), place.alias("start"))
 
 
 def token_windows(
-    tokens: DataFrame, starts: DataFrame, block_size: int, n_windows: int | None = None
+    tokens: DataFrame,
+    starts: DataFrame,
+    block_size: int,
+    n_windows: int | None = None,
+    keys: list[str] | None = None,
 ) -> DataFrame:
     """Windows ``x`` and next-token targets ``y`` (shifted by one) at given starts.
 
-    ``tokens`` has ``start_offset`` and ``ids``. Both sides are cut at multiples of the
+    ``tokens`` has ``start_offset`` and ``ids``, and with ``keys`` one stream per key; the columns
+    of ``starts`` are kept. Both sides are cut at multiples of the
     bucket width and meet in an equi-join, so no range join is needed; a window then gathers
     its few slices. With ``n_windows`` (an upper bound of the rows of ``starts``) within the
     broadcast limit the token side is not shuffled at all.
@@ -105,7 +140,8 @@ def token_windows(
     width = max(block_size + 1, 256)
     first = F.floor(F.col("start") / width)
     last = F.floor((F.col("start") + block_size) / width)
-    wanted = starts.select("window_id", "start", F.explode(F.sequence(first, last)).alias("bucket"))
+    keys, names = keys or [], starts.columns
+    wanted = starts.select(*names, F.explode(F.sequence(first, last)).alias("bucket"))
     if n_windows is not None and n_windows <= MAX_BROADCAST_WINDOWS:
         wanted = F.broadcast(wanted)
 
@@ -119,14 +155,13 @@ def token_windows(
 
     # Sliced before the explode, which would otherwise copy the whole document per bucket.
     buckets = F.sequence(F.floor(begin / width), F.floor((begin + size - 1) / width))
-    pieces = tokens.where(size > 0).select(F.explode(F.transform(buckets, piece)).alias("p"))
-    pieces = pieces.select("p.*")
+    pieces = tokens.where(size > 0).select(*keys, F.explode(F.transform(buckets, piece)).alias("p"))
+    pieces = pieces.select(*keys, "p.*")
     # Cut to the window before the shuffle, so that a window gathers block_size + 1 ids.
     low = F.greatest("at", "start")
     high = F.least(F.col("at") + F.size("part"), F.col("start") + block_size + 1)
-    met = pieces.join(wanted, "bucket").where(high > low).select(
-        "window_id",
-        "start",
+    met = pieces.join(wanted, [*keys, "bucket"]).where(high > low).select(
+        *names,
         low.alias("at"),
         F.slice("part", (low - F.col("at") + 1).cast("int"), (high - low).cast("int")).alias("part"),
     )
@@ -134,11 +169,10 @@ def token_windows(
         F.transform(F.array_sort(F.collect_list(F.struct("at", "part"))), lambda p: p["part"])
     )
     return (
-        met.groupBy("window_id", "start")
+        met.groupBy(*names)
         .agg(stream.alias("stream"))
         .select(
-            "window_id",
-            "start",
+            *names,
             F.slice("stream", 1, block_size).alias("x"),
             F.slice("stream", 2, block_size).alias("y"),
         )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -13,7 +14,7 @@ from inkmill.config import ColumnMap
 from inkmill.functions.cleaning import strip
 from inkmill.operators.ordering import scan_offsets, with_ordinal
 from inkmill.operators.selection import budget_cut
-from inkmill.staging import spread
+from inkmill.staging import spread, stage
 
 
 def read_corpus(
@@ -81,7 +82,8 @@ def read_jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
 
     A text split is read by one task in order, so inside a split
     ``monotonically_increasing_id`` gives the row order; the split itself is known by file
-    and start. Only the small table of splits is summed up and joined back.
+    and start. The files are scanned once, into a staged table; the small table of splits is
+    counted there and joined back, so lines and counts are of the same splits.
     """
     source = spark.read.text(path)
     # Every split fills a scan partition or is the rest of a file.
@@ -93,6 +95,7 @@ def read_jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_id"),
         "value",
     )
+    lines = stage(lines, "lines")
     splits = lines.groupBy("_piece").agg(F.count("*").alias("_rows"), F.min("_id").alias("_first"))
     return (
         lines.join(scan_offsets(splits, n_splits), "_piece")
@@ -101,17 +104,32 @@ def read_jsonl_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_split_texts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """``ordinal``, ``split`` and ``text`` of the JSON lines of several splits, named with their paths.
+
+    Ordinals count within a split. Records without a text string are kept, with a null text.
+    """
+    parts = [
+        _jsonl_records(spark, path).withColumn("split", F.lit(split)) for split, path in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, parts).select("ordinal", "split", "text")
+
+
 def read_jsonl_texts(spark: SparkSession, path: str) -> DataFrame:
     """``ordinal`` and ``text`` of the lines whose ``text`` is a non-empty JSON string.
 
     Lines with a missing, empty or non-string text are dropped; a malformed line raises.
     """
+    return _jsonl_records(spark, path).where(F.col("text") != "")
+
+
+def _jsonl_records(spark: SparkSession, path: str) -> DataFrame:
     record = read_jsonl_lines(spark, path).withColumn("_text", F.expr(
         "variant_get(parse_json(value), '$.text', 'variant')"
     ))
     is_string = F.schema_of_variant("_text") == "STRING"
     text = F.when(is_string, F.variant_get("_text", "$", "string"))
-    return record.select("ordinal", text.alias("text")).where(F.col("text") != "")
+    return record.select("ordinal", text.alias("text"))
 
 
 def count_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 
 # Hadoop's names of stores that Arrow knows by another one.
 SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
@@ -25,6 +26,18 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme; without one it lies in the session's default file system.
+
+    To be called on the driver: to a task, a bare path would be a folder of its own machine.
+    """
+    if re.match(r"^[a-zA-Z][a-zA-Z0-9+.-]*:", path):
+        return path
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(hadoop).toString()
+
+
 def write_bytes(path: str, content: bytes) -> None:
     system, inner = resolve(path)
     system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
@@ -43,6 +56,13 @@ def exists(path: str) -> bool:
     return system.get_file_info(inner).type != fs.FileType.NotFound
 
 
+def names(folder: str) -> list[str]:
+    """Names of the files right below ``folder``."""
+    system, inner = resolve(folder)
+    found = system.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+    return [info.base_name for info in found if info.type == fs.FileType.File]
+
+
 def publish(folder: str, write: Callable[[str], None]) -> None:
     """Let ``write`` fill a folder beside ``folder``, then give it that name.
 

@@ -236,15 +236,28 @@ def test_jsonl_order_over_many_splits(spark, folder):
         with open(f"{folder}/p{f}.json", "w") as out:
             out.writelines(json.dumps({"text": f"{f}-{i}-" + "x" * 50}) + "\n" for i in range(500))
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    want = [(i + 1, f"{i // 500}-{i % 500}") for i in range(1500)]
     try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
         docs = src.read_jsonl_texts(spark, folder)
-        got = [r["text"].rsplit("-", 1)[0] for r in docs.orderBy("ordinal").collect()]
+        for size in ("5000", "3001", "1000000"):  # the last two after the lines were read
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            for found in (docs, src.read_jsonl_texts(spark, folder)):
+                rows = found.orderBy("ordinal").collect()
+                assert [(r["ordinal"], r["text"].rsplit("-", 1)[0]) for r in rows] == want
         first = [r["text"].rsplit("-", 1)[0] for r in src.limit_docs(docs, 501).orderBy("ordinal").collect()]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    want = [f"{f}-{i}" for f in range(3) for i in range(500)]
-    assert got == want and first == want[:501]
+    assert first == [text for _, text in want[:501]]
+
+
+def test_texts_of_splits(spark, folder):
+    for name, lines in (("t", ['{"text": "a"}', "", '{"x": 1}', '{"text": "b"}']), ("v", ['{"text": ""}'])):
+        with open(f"{folder}/{name}.jsonl", "w") as out:
+            out.write("\n".join(lines) + "\n")
+    found = src.read_split_texts(spark, {"train": f"{folder}/t.jsonl", "val": f"{folder}/v.jsonl"})
+    rows = sorted((r["split"], r["ordinal"], r["text"]) for r in found.collect())
+    assert rows == [("train", 1, "a"), ("train", 3, None), ("train", 4, "b"), ("val", 1, "")]
 
 
 @pytest.mark.parametrize("block_rows", [1, 7, 1000])

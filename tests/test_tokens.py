@@ -3,6 +3,7 @@ import os
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, trainers
@@ -11,7 +12,13 @@ from inkmill.functions.pretokens import SPECIAL_TOKENS, byte_chars, pretokens, s
 from inkmill.operators import bpe, evaluation, tokens
 from inkmill.operators.bpe import BpeModel, learn_bpe, word_counts
 from inkmill.operators.codec import decode, encode, merge_word, round_trip
-from inkmill.plans.token_dataset import encode_corpus, evaluate_tokens, train_tokenizer, write_token_bins
+from inkmill.plans.token_dataset import (
+    encode_corpus,
+    evaluate_splits,
+    evaluate_tokens,
+    train_tokenizer,
+    write_token_bins,
+)
 from inkmill.sources import files, tokenbin, tokenizer_files
 
 WORDS = "le la théâtre vérité monsieur l'ami it's aaaa abab baba 1234 !? 日本語".split()
@@ -233,6 +240,110 @@ def test_second_append_raises_and_overwrite_replaces(spark, folder):
     assert sum(n.endswith(".bin") for n in os.listdir(path)) == 1
 
 
+def shards(path):
+    with open(f"{path}/{tokenbin.MANIFEST}") as file:
+        listed = json.load(file)["shards"]
+    assert {s["file"] for s in listed} == {n for n in os.listdir(path) if n.endswith(".bin")}
+    return [(s["offset"], s["tokens"]) for s in listed]
+
+
+@pytest.mark.parametrize("size", [1, 97, 1000, 2011, 5000])
+def test_shards_of_equal_size(spark, folder, size):
+    df, stream = placed(spark, SIZES if size > 1 else [3, 0, 40, 1])
+    tokenbin.write_stream(df.repartition(3), f"{folder}/s", "uint16", len(stream), size)
+    want = [(at, min(size, len(stream) - at)) for at in range(0, len(stream), size)]
+    assert shards(f"{folder}/s") == want
+    read = spark.read.format("tokenbin")
+    for low, high in ((0, 10**9), (0, 1), (30, 41), (900, 1100)):
+        part = read.option("from", low).option("until", high).load(f"{folder}/s").orderBy("start_offset")
+        rows = part.collect()
+        assert [t for r in rows for t in r["ids"]] == stream[low:high]
+        assert not rows or rows[0]["start_offset"] == low
+
+
+def test_empty_stream(spark, folder):
+    df, _ = placed(spark, [0, 0])
+    tokenbin.write_stream(df, f"{folder}/s", "uint16", 0, 10)
+    assert shards(f"{folder}/s") == [] and spark.read.format("tokenbin").load(f"{folder}/s").count() == 0
+
+
+def test_failed_write_leaves_no_files(spark, folder):
+    """Every task has opened shards when the last document turns out not to fit."""
+    rows = [(i * 10, [1] * 10 if i < 40 else [70_000] * 10) for i in range(41)]
+    df = spark.createDataFrame(rows, "start_offset long, ids array<int>")
+    with pytest.raises(Exception, match="does not fit"):
+        tokenbin.write_stream(df, f"{folder}/s", "uint16", 410, 50)
+    assert os.listdir(f"{folder}/s") == []
+
+
+def test_commit_sweeps_files_of_failed_attempts(folder):
+    import pyarrow as pa
+
+    writer = tokenbin.TokenBinWriter({"path": folder, "dtype": "uint16", "shard_tokens": "4"})
+    ids = pa.array([[1, 2, 3], [4, 5, 6]], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 3]), ids], names=["start_offset", "ids"])
+    writer.write(iter([batch]))  # an attempt whose message got lost
+    writer.commit([writer.write(iter([batch]))])
+    assert shards(folder) == [(0, 4), (4, 2)]
+
+
+@pytest.mark.parametrize("dtype", ["uint16", "uint32"])
+def test_windows_from_files(spark, folder, dtype):
+    df, stream = placed(spark, SIZES)
+    tokenbin.write_stream(df, f"{folder}/s", dtype, len(stream), 150)
+    block = 100
+    starts = tokens.random_starts(spark, 300, len(stream), block, seed=3)
+    rows = tokenbin.read_windows(starts, f"{folder}/s", block).collect()
+    assert sorted(r["window_id"] for r in rows) == list(range(300))
+    for r in rows:
+        assert r["x"] == stream[r["start"] : r["start"] + block]
+        assert r["y"] == stream[r["start"] + 1 : r["start"] + block + 1]
+    plan = tokenbin.read_windows(starts, f"{folder}/s", block)._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "BatchScan" not in plan
+    late = spark.createDataFrame([(0, len(stream) - block)], "window_id long, start long")
+    with pytest.raises(Exception, match="no 101 tokens"):
+        tokenbin.read_windows(late, f"{folder}/s", block).collect()
+    assert tokenbin.read_windows(late.limit(0), f"{folder}/s", block).count() == 0
+    with pytest.raises(FileNotFoundError):
+        tokenbin.read_windows(late, f"{folder}/other", block)
+
+
+def test_bytes_read_grow_with_windows(folder, monkeypatch):
+    """The stream grows a hundredfold, the bytes read stay."""
+    read = []
+
+    class Counting:
+        def __init__(self, source):
+            self.source = source
+
+        def open_input_file(self, path):
+            opened = self.source.open_input_file(path)
+
+            class File:
+                seek, close = opened.seek, opened.close
+
+                def read(self, n):
+                    read.append(n)
+                    return opened.read(n)
+
+            return File()
+
+    real = files.resolve
+    monkeypatch.setattr(files, "resolve", lambda path: (Counting(real(path)[0]), real(path)[1]))
+    for size in (1_000, 100_000):
+        np.arange(size, dtype="<u4").tofile(f"{folder}/a.bin")
+        starts = np.linspace(0, size - 11, 50).astype(np.int64)
+        got = tokenbin.window_ids(starts, 11, folder, np.dtype("<u4"), [("a.bin", 0, size)])
+        assert (got == starts[:, None] + np.arange(11)).all()
+        assert sum(read) == 50 * 11 * 4
+        read.clear()
+
+
+def test_paths_get_the_default_scheme(spark):
+    assert files.qualified(spark, "/a/b c") == "file:/a/b c"
+    assert files.qualified(spark, "s3a://bucket/k") == "s3a://bucket/k"
+
+
 @pytest.mark.parametrize(
     "path, kind, inner",
     [
@@ -321,6 +432,9 @@ def test_encoded_dataset(spark, docs, model, folder):
         assert meta[f"{s}_tokens"] == len(stream)
         pairs = evaluation.stream_pairs(data.tokens.where(F.col("split") == s)).collect()
         assert {(r["prev"], r["next"]): r["n"] for r in pairs} == Counter(zip(stream, stream[1:]))
+    write_token_bins(data, f"{folder}/small", 100)
+    for s in ("train", "val"):
+        assert len(shards(f"{folder}/small/{s}")) == -(-meta[f"{s}_tokens"] // 100)
     plain = encode_corpus(split, model, with_eos=False)
     assert plain.meta.first()["eos_id"] is None
     part = {s: data.tokens.where(F.col("split") == s) for s in ("train", "val")}
@@ -330,6 +444,49 @@ def test_encoded_dataset(spark, docs, model, folder):
     assert report["gain_over_uniform"] > 1 and 0 < report["accuracy"] <= 100
 
 
+def test_statistics_by_split(spark, model):
+    rows = [(1, "train", "ab"), (2, "train", None), (3, "val", ""), (4, "train", ""), (5, "val", "[EOS]"), (1, "val", "x")]
+    df = spark.createDataFrame(rows, "ordinal long, split string, text string")
+    data = encode_corpus(df, model)
+    got = {r["split"]: r.asDict() for r in data.stats.collect()}
+    sizes = {s: [r["n_tokens"] for r in data.tokens.collect() if r["split"] == s] for s in got}
+    for s, seen, written, chars in (("train", 3, 1, 2), ("val", 3, 2, 6)):
+        assert (got[s]["docs_seen"], got[s]["docs_written"], got[s]["characters"]) == (seen, written, chars)
+        assert got[s]["tokens"] == sum(sizes[s]) and len(sizes[s]) == written and got[s]["empty_docs"] == 0
+
+
+def test_evaluation_by_split_and_draw(spark):
+    """One job gives what each split and draw gives alone."""
+    rng = random.Random(8)
+    streams = {s: [rng.randint(0, 5) for _ in range(n)] for s, n in (("train", 900), ("val", 300))}
+    rows = [
+        (s, at, ids[at : at + 70]) for s, ids in streams.items() for at in range(0, len(ids), 70)
+    ]
+    df = spark.createDataFrame(rows, "split string, start_offset long, ids array<int>")
+    df = df.withColumn("n_tokens", F.size("ids"))
+    draws = {"loss": 60, "accuracy": 15, "none": 0}
+    got = evaluate_splits(df, 10, 20, draws, seed=4).collect()
+    assert {(r["split"], r["draw"]) for r in got} == {(s, d) for s in streams for d in ("loss", "accuracy")}
+    totals = spark.createDataFrame([(s, len(ids)) for s, ids in streams.items()], "split string, n_tokens long")
+    starts = tokens.random_starts_by_split(totals, draws, 20, seed=4).collect()
+    counts = spark.createDataFrame(
+        [(*p, n) for p, n in Counter(zip(streams["train"], streams["train"][1:])).items()],
+        "prev int, next int, n long",
+    )
+    for r in got:
+        at = [s["start"] for s in starts if (s["split"], s["draw"]) == (r["split"], r["draw"])]
+        ids = streams[r["split"]]
+        assert len(at) == draws[r["draw"]] and max(at) < len(ids) - 21
+        pairs = Counter((ids[i], ids[i + 1]) for a in at for i in range(a, a + 20))
+        targets = spark.createDataFrame([(*p, n) for p, n in pairs.items()], counts.schema)
+        want = evaluation.evaluation_report(evaluation.score_pairs(targets, counts, 10), 10).first()
+        assert r["tokens"] == want["tokens"] == len(at) * 20
+        assert r["loss"] == pytest.approx(want["loss"]) and r["accuracy"] == pytest.approx(want["accuracy"])
+    short = df.where("split = 'train' OR start_offset = 0").withColumn("ids", F.slice("ids", 1, 21))
+    with pytest.raises(Exception, match="too few tokens in split val"):
+        evaluate_splits(short.withColumn("n_tokens", F.size("ids")), 10, 20, draws).collect()
+
+
 def test_scores_and_report(spark):
     import math
 
