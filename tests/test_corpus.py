@@ -64,6 +64,17 @@ def test_no_matching_file(spark, folder):
         src.read_corpus(spark, folder, "nothing_*.parquet")
 
 
+def test_a_table_of_several_files_is_read_whole(spark, folder, texts):
+    os.mkdir(f"{folder}/docs.parquet")
+    write_files(f"{folder}/docs.parquet", texts)
+    pq.write_table(pa.table({"other": [1]}), f"{folder}/other.parquet")
+    docs = src.read_corpus(spark, folder, "docs.parquet").orderBy("ordinal").collect()
+    assert [(d["ordinal"], d["text"]) for d in docs] == list(enumerate(texts, 1))
+    found = src.corpus_files(spark, folder, "docs.parquet")
+    again = src.read_corpus_files(spark, found[1:]).orderBy("ordinal").collect()
+    assert [d["text"] for d in again] == texts[4:]
+
+
 def test_only_mapped_columns_are_read(spark, folder, texts):
     write_files(folder, texts)
     plan = src.read_corpus(spark, folder)._jdf.queryExecution().optimizedPlan().toString()
