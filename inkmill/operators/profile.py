@@ -60,15 +60,22 @@ def choose_text_column(names: list[str], strings: list[str], forced: str | None)
 def read_for_profile(
     spark: SparkSession, folder: str, glob: str = "*.parquet", text_column: str | None = None
 ) -> DataFrame:
-    """``file``, ``position`` and ``text`` of every row; only the text column is read."""
-    source = spark.read.option("pathGlobFilter", glob).parquet(folder)
+    """``file``, ``piece``, ``position`` and ``text`` of every row; only the text column is read.
+
+    A match that is a folder is a table: one file for the profile, of several pieces.
+    """
+    source = files.read_parquet(spark, folder, glob)
     column = detect_text_column(source.schema, text_column)
-    return _profile_input(source, column)
+    file = F.col("_metadata.file_name")
+    if files.has_tables(spark, folder, glob):
+        file = files.name_in(spark, folder, F.col("_metadata.file_path"))
+    return _profile_input(source, column, file)
 
 
-def _profile_input(source: DataFrame, column: str) -> DataFrame:
+def _profile_input(source: DataFrame, column: str, file: Column) -> DataFrame:
     return source.select(
-        F.col("_metadata.file_name").alias("file"),
+        file.alias("file"),
+        F.col("_metadata.file_name").alias("piece"),
         F.col("_metadata.row_index").alias("position"),
         F.col(f"`{column}`").cast("string").alias("text"),
     )
@@ -82,8 +89,9 @@ def profile_parts(rows: DataFrame) -> DataFrame:
     whatever the length of a text, and sends only blocks that occur.
     """
     text = F.when(strip(F.col("text")) != "", F.col("text"))
-    rows = rows.select("file", "position", F.length(text).alias("n"), text.alias("text"))
-    kind = "file string, block int, rows long, docs long, chars long, first struct<position:long,head:string>, bits binary"
+    rows = rows.select("file", "piece", "position", F.length(text).alias("n"), text.alias("text"))
+    first = "struct<piece:string,position:long,head:string>"
+    kind = f"file string, block int, rows long, docs long, chars long, first {first}, bits binary"
     return (
         rows.mapInArrow(_collect_parts, kind)
         .groupBy("file", "block")
@@ -103,10 +111,11 @@ class _FilePart:
     def __init__(self, file: str) -> None:
         self.file = file
         self.rows = self.docs = self.chars = 0
-        self.first: tuple[int, str] | None = None
+        self.first: tuple[str, int, str] | None = None
         self.seen = np.zeros(_CODE_POINTS, bool)
 
     def add(self, batch: pa.RecordBatch) -> None:
+        """Take some rows of one piece."""
         self.rows += batch.num_rows
         batch = batch.filter(pc.is_valid(batch["n"]))
         if not batch.num_rows:
@@ -114,9 +123,9 @@ class _FilePart:
         self.docs += batch.num_rows
         self.chars += pc.sum(batch["n"]).as_py()
         at = int(np.argmin(batch["position"].to_numpy()))
-        position = batch["position"][at].as_py()
-        if self.first is None or position < self.first[0]:
-            self.first = (position, batch["text"][at].as_py()[:SAMPLE_CHARS])
+        place = (batch["piece"][at].as_py(), batch["position"][at].as_py())
+        if self.first is None or place < self.first[:2]:
+            self.first = (*place, batch["text"][at].as_py()[:SAMPLE_CHARS])
         texts = batch["text"].cast(pa.large_string())
         _, offsets, data = texts.buffers()
         bounds = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -139,9 +148,9 @@ class _FilePart:
         blocks = self.seen.reshape(-1, _BLOCK)
         used = np.flatnonzero(blocks.any(axis=1))
         none = [None] * len(used)
-        first = dict(zip(("position", "head"), self.first)) if self.first else None
+        first = dict(zip(("piece", "position", "head"), self.first)) if self.first else None
         bits = [np.packbits(blocks[i], bitorder="little").tobytes() for i in used]
-        head = pa.struct([("position", pa.int64()), ("head", pa.string())])
+        head = pa.struct([("piece", pa.string()), ("position", pa.int64()), ("head", pa.string())])
         return pa.RecordBatch.from_pydict(
             {
                 "file": pa.array([self.file] * (len(used) + 1), pa.string()),
@@ -160,7 +169,8 @@ def _collect_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         names = batch["file"].dictionary_encode()
         codes = names.indices.to_numpy()
-        cuts = np.flatnonzero(np.diff(codes)) + 1
+        pieces = batch["piece"].dictionary_encode().indices.to_numpy()
+        cuts = np.flatnonzero((np.diff(codes) != 0) | (np.diff(pieces) != 0)) + 1
         for start, end in zip([0, *cuts], [*cuts, len(codes)]):
             if start == end:
                 continue
@@ -293,7 +303,7 @@ def profile_folder(
     rows = None
     for (column, _), members in groups.items():
         part = spark.read.option("ignoreCorruptFiles", "true").parquet(*sorted(members))
-        part = _profile_input(part, column)
+        part = _profile_input(part, column, F.col("_metadata.file_name"))
         rows = part if rows is None else rows.unionByName(part)
     if rows is None:
         raise FileNotFoundError(f"no readable Parquet file matches {glob!r} in {folder}")

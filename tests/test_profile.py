@@ -1,3 +1,5 @@
+import os
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -60,6 +62,25 @@ def test_one_scan_and_exact_alphabet(spark, folder, monkeypatch):
         assert df._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
 
 
+def test_a_table_of_several_files_is_one_file(spark, folder):
+    texts = {
+        "a b+%2F.parquet": [["", None], ["xyz", "é"], ["first of the last"]],
+        "c.parquet": [["日本"], ["abc", "ab"]],
+    }
+    for name, parts in texts.items():
+        os.mkdir(f"{folder}/{name}")
+        for i, part in enumerate(parts):
+            pq.write_table(pa.table({"text": pa.array(part, pa.string())}), f"{folder}/{name}/part-{i}.parquet")
+    pq.write_table(pa.table({"text": ["plain"]}), f"{folder}/d.parquet")
+    rows = p.read_for_profile(spark, folder)
+    got = {r["file"]: (r["rows"], r["chars"], r["unique_chars"], r["sample"]) for r in p.profile(rows).collect()}
+    assert got == {"a b+%2F.parquet": (5, 21, 15, "xyz"), "c.parquet": (3, 7, 5, "日本"), "d.parquet": (1, 5, 5, "plain")}
+    letters = {(r["file"], r["character"]) for r in p.file_alphabet(p.read_for_profile(spark, folder, "c.parquet")).collect()}
+    assert letters == {("c.parquet", c) for c in "日本abc"}
+    total = p.global_profile(rows).first()
+    assert (total["files"], total["rows"], total["sample"]) == (3, 9, "xyz")
+
+
 def test_bad_files_are_counted(spark, folder):
     pq.write_table(pa.table({"text": ["abc"]}), f"{folder}/a.parquet")
     pq.write_table(pa.table({"x": ["q"], "y": ["r"]}), f"{folder}/b.parquet")
