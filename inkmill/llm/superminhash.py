@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from inkmill.llm.components import components
 from inkmill.llm.hashing import small
-from inkmill.llm.worker import small_batches
+from inkmill.llm.worker import small_batches, worker_state
 from inkmill.staging import stage
 
 ROWS = 8
@@ -232,6 +232,7 @@ def sketch(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, set_key (128 bits, null if empty), bands, subsets of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("shingles")  # frees what an operator before has kept
         for batch in batches:
             for part in range(0, batch.num_rows, 512):
                 rows = batch.slice(part, 512)
@@ -264,6 +265,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
     """doc_id and shingles (sorted array of longs) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state("shingles")  # frees what an operator before has kept
         for batch in batches:
             for part in range(0, batch.num_rows, 512):
                 rows = batch.slice(part, 512)

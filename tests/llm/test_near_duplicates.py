@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from inkmill.llm import superminhash as op
 from inkmill.llm.components import components
+from inkmill.llm.worker import worker_state
 
 
 def word_set(text, words=4):
@@ -217,3 +219,19 @@ def test_components(spark):
             root[y] = x
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r["node"]: r["root"] for r in got} == {i: find(i) for i in root}
+
+
+@pytest.mark.parametrize("step", [op.sketch, op.shingle_sets])
+def test_tasks_free_what_other_operators_keep(spark, step):
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, kind):
+            return run
+
+    kept = worker_state("language")
+    kept["model"] = np.zeros(10)
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1], pa.int64()), "text": ["a b c d e f"]})
+    assert [part.num_rows for part in step(Docs(), 5)(iter([batch]))] == [1]
+    assert worker_state("language") == {}
