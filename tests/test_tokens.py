@@ -528,3 +528,14 @@ def test_stats_and_limits(spark, model):
     assert (stats["characters"], stats["tokens"]) == (7, written)
     assert tokens.eos_id(BpeModel(tokens=[b"a"])) is None
     assert bpe.FIRST_BYTE_ID == 4
+
+
+def test_encoding_sends_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "10000")
+    try:
+        encode(spark.createDataFrame([("a",)], "text string"), BpeModel())
+        assert int(spark.conf.get(key)) <= 500
+    finally:
+        spark.conf.set(key, before)
