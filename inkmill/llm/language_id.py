@@ -48,6 +48,12 @@ def words_of(chunk: str) -> list[str]:
     return [w for w in found if any(map(str.isalpha, w))]
 
 
+def grams_of(word: str, order: int) -> list[str]:
+    """N-grams of the word between end marks; the unigrams leave out the marks."""
+    marked = word if order == 1 else f"<{word}>"
+    return [marked[i : i + order] for i in range(len(marked) - order + 1)]
+
+
 _BASE = 0x100000001B3
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -106,6 +112,23 @@ class LanguageModel:
         at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
         return at, keys[at] == hashes
 
+    @property
+    def grams(self) -> KnownGrams:
+        return KnownGrams(self)
+
+    def rows_of(self, word: str) -> list[tuple[int, int]]:
+        """Order and table row of the entries whose mean is the word's score; [] if it has none."""
+        spans = Spans([word])
+        at, known = self._rows(0, spans.words())
+        if known.any():
+            return [(0, int(at[0]))]
+        for order in ORDERS:
+            _, hashes = spans.grams(order, np.zeros(1, np.int64))
+            rows, found = self._rows(order, hashes)
+            if found.any():
+                return [(order, int(i)) for i in rows[found]]
+        return []
+
     def score_words(self, words: list[str]) -> np.ndarray:
         """Score of each word per language: its log frequency, else that of its n-grams."""
         spans = Spans(words)
@@ -128,6 +151,18 @@ class LanguageModel:
         return out
 
 
+class KnownGrams:
+    """The n-grams of a model; it keeps their hashes only, so one can ask for an n-gram but not list them."""
+
+    def __init__(self, model: LanguageModel) -> None:
+        self.model = model
+
+    def __contains__(self, gram: str) -> bool:
+        if len(gram) not in self.model.keys or not gram:
+            return False
+        return bool(self.model._rows(len(gram), Spans([gram]).words())[1].any())
+
+
 class ChunkScores:
     """Summed word scores, and the number of words, of the chunks between spaces seen so far."""
 
