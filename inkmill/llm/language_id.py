@@ -203,6 +203,7 @@ class ChunkScores:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    worker_state("language fit")  # frees what an operator before has kept
     counts: Counter[tuple[str, str]] = Counter()
 
     def flush() -> pa.RecordBatch:

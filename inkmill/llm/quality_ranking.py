@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm.hashing import sampled
-from inkmill.llm.worker import small_batches
+from inkmill.llm.worker import small_batches, worker_state
 
 FIT_ROWS = 10_000
 PAIRS = 200_000
@@ -171,6 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Quality
     found = texts.join(F.broadcast(chosen), "doc_id")
 
     def measure(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker_state("quality")  # frees what an operator before has kept
         for part in parts:
             rows = [features(t) for t in part["text"]]
             yield pd.DataFrame({"doc_id": part["doc_id"], "good": part["good"], "x": rows})
@@ -193,6 +194,7 @@ def quality_score(docs: DataFrame, model: QualityModel, text: str = "text") -> C
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_state("quality")  # frees what an operator before has kept
         model = QualityModel(**shared.value)
         for texts in parts:
             yield pd.Series(model.score(feature_matrix(texts)) if len(texts) else [], dtype=float)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 BATCH_ROWS = 500
@@ -13,13 +14,15 @@ BATCH_ROWS = 500
 def worker_state(name: str) -> dict:
     """A dictionary that lives as long as this worker process, so only caches belong here.
 
-    Empty in a new worker. A worker keeps the state of one name at a time.
+    Empty in a new worker. A worker keeps the state of one name at a time; under another name it
+    also gives back what Arrow holds for batches to come.
     """
     home = sys.modules.setdefault("_worker_state", types.ModuleType("_worker_state"))
     state = home.__dict__.get("state")
     if state is None or home.__dict__.get("name") != name:
         state = {}
         home.__dict__.update(name=name, state=state)
+        pa.default_memory_pool().release_unused()
     return state
 
 

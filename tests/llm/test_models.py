@@ -6,10 +6,12 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
 from inkmill.llm import language_id, quality_ranking, token_count
+from inkmill.llm.worker import worker_state
 from pyspark.sql import functions as F
 
 WORDS = {
@@ -136,6 +138,15 @@ def test_backoff_prefers_longer_grams(make_docs, language_docs):
     assert model.rows_of("щщщ") == []
 
 
+def test_fit_frees_what_other_operators_keep():
+    worker_state("chunks")["encoder"] = np.zeros(10)
+    batch = pa.RecordBatch.from_pydict({"lang": ["en", "fr"], "text": ["Water water", "eau"]})
+    [counts] = language_id._word_counts(iter([batch]))
+    rows = {(r["lang"], r["word"], r["n"]) for r in counts.to_pylist()}
+    assert rows == {("en", "water", 2), ("fr", "eau", 1)}
+    assert worker_state("chunks") == {}
+
+
 def noisy(i):
     return f"buy{i} $$$ ### buy buy buy %%% " * 5
 

@@ -30,6 +30,21 @@ def test_chunks_have_the_ids_of_the_text(tokenizer):
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library_ids(tokenizer, text), text
 
 
+def test_remembered_chunks_are_bounded_and_keep_the_frequent_ones(tokenizer, monkeypatch):
+    monkeypatch.setattr(op, "_CHUNKS", 60)
+    monkeypatch.setattr(op, "_PARTS", 40)
+    encoder = op.ChunkEncoder(PACK_TOKENIZER)
+    rng = random.Random(2)
+    for i in range(300):
+        rare = ["".join(rng.choices("abcé,!", k=6)) for _ in range(rng.randint(0, 12))]
+        texts = [" ".join(["The", *rare, "house."]), "", "the\x1chouse"]
+        got = encoder.encode_all(texts)
+        assert [ids.tolist() for ids in got] == [library_ids(tokenizer, t) for t in texts], texts
+        assert len(encoder.places) <= 60 + 14 and len(encoder.parts) <= 40 + 28
+        assert encoder.places.keys() >= {"The", "house."} and encoder.places["The"] == 0
+    assert len(encoder.places) == encoder.known
+
+
 TEXTS = [
     "Hello, world! " * 3,
     None,
