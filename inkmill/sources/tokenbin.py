@@ -38,6 +38,8 @@ WIDE = ("uint32", "int64")
 TOKENS_PER_ROW = 65_536
 ROWS_PER_PARTITION = 256
 SHARD_TOKENS = 268_435_456
+# Tokens that a task writes, if shards are smaller; a larger shard has a task of its own.
+TASK_TOKENS = 4_194_304
 # Ids of windows that a task holds at a time.
 WINDOW_IDS = 4_194_304
 
@@ -208,22 +210,25 @@ def write_stream(
 ) -> None:
     """Write ``start_offset``, ``ids`` of a stream of ``n_tokens`` as shards of ``shard_tokens``.
 
-    Documents are cut at the borders of shards and meet in one task per shard, sorted there on
-    disk if need be, so there are ceil(n_tokens / shard_tokens) shards, whatever the layout before.
+    A task writes one run of adjacent shards, as many as make up ``TASK_TOKENS`` or else a single
+    one, so tasks grow with the tokens and not with the number of shards. Documents are cut at the
+    borders of runs, sorted in their task, on disk if need be, and cut there at the borders of shards:
+    there are ceil(n_tokens / shard_tokens) shards, whatever the layout before.
     """
     spark = placed.sparkSession
     register(spark)
-    begin, size, width = F.col("start_offset"), F.size("ids"), F.lit(int(shard_tokens))
+    run_tokens = shard_tokens * max(1, TASK_TOKENS // shard_tokens)
+    begin, size, width = F.col("start_offset"), F.size("ids"), F.lit(int(run_tokens))
 
-    def part(shard):
-        low = F.greatest(begin, shard * width)
-        high = F.least(begin + size, (shard + 1) * width)
+    def part(run):
+        low = F.greatest(begin, run * width)
+        high = F.least(begin + size, (run + 1) * width)
         ids = F.slice("ids", (low - begin + 1).cast("int"), (high - low).cast("int"))
-        return F.struct(shard.cast("int").alias("shard"), low.alias("start_offset"), ids.alias("ids"))
+        return F.struct(run.cast("int").alias("run"), low.alias("start_offset"), ids.alias("ids"))
 
-    shards = F.sequence(F.floor(begin / width), F.floor((begin + size - 1) / width))
-    parts = placed.where(size > 0).select(F.explode(F.transform(shards, part)).alias("p")).select("p.*")
-    laid = parts.repartitionById(max(1, -(-n_tokens // shard_tokens)), "shard")
+    runs = F.sequence(F.floor(begin / width), F.floor((begin + size - 1) / width))
+    parts = placed.where(size > 0).select(F.explode(F.transform(runs, part)).alias("p")).select("p.*")
+    laid = parts.repartitionById(max(1, -(-n_tokens // run_tokens)), "run")
     out = laid.sortWithinPartitions("start_offset").select("start_offset", "ids").write
     out = out.format("tokenbin").option("dtype", dtype).option("shard_tokens", shard_tokens)
     out.mode("append").save(files.qualified(spark, path))

@@ -261,6 +261,21 @@ def test_shards_of_equal_size(spark, folder, size):
         assert not rows or rows[0]["start_offset"] == low
 
 
+def test_small_shards_share_tasks(spark, folder, monkeypatch):
+    """A stream of many small shards is written by as many tasks as its tokens need."""
+    monkeypatch.setattr(tokenbin, "TASK_TOKENS", 1005, raising=False)
+    df, stream = placed(spark, SIZES)
+    spark.sparkContext.setJobGroup("small-shards", "")
+    tokenbin.write_stream(df.repartition(3), f"{folder}/s", "uint16", len(stream), 10)
+    spark.sparkContext.setJobGroup("", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup("small-shards") for s in tracker.getJobInfo(j).stageIds]
+    assert max(tracker.getStageInfo(s).numTasks for s in stages) <= max(4, -(-len(stream) // 1000))
+    assert shards(f"{folder}/s") == [(at, min(10, len(stream) - at)) for at in range(0, len(stream), 10)]
+    rows = spark.read.format("tokenbin").load(f"{folder}/s").orderBy("start_offset").collect()
+    assert [t for r in rows for t in r["ids"]] == stream
+
+
 def test_empty_stream(spark, folder):
     df, _ = placed(spark, [0, 0])
     tokenbin.write_stream(df, f"{folder}/s", "uint16", 0, 10)
