@@ -223,7 +223,8 @@ def write_stream(
     def part(run):
         low = F.greatest(begin, run * width)
         high = F.least(begin + size, (run + 1) * width)
-        ids = F.slice("ids", (low - begin + 1).cast("int"), (high - low).cast("int"))
+        cut = F.slice("ids", (low - begin + 1).cast("int"), (high - low).cast("int"))
+        ids = F.when(high - low == size, F.col("ids")).otherwise(cut)
         return F.struct(run.cast("int").alias("run"), low.alias("start_offset"), ids.alias("ids"))
 
     runs = F.sequence(F.floor(begin / width), F.floor((begin + size - 1) / width))

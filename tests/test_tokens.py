@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, trainers
 
+from checks import queries
 from inkmill.functions.pretokens import SPECIAL_TOKENS, byte_chars, pretokens, symbol_char, symbol_id
-from inkmill.operators import bpe, evaluation, tokens
+from inkmill.operators import bpe, codec, evaluation, tokens
 from inkmill.operators.bpe import BpeModel, learn_bpe, word_counts
 from inkmill.operators.codec import decode, encode, merge_word, round_trip
 from inkmill.plans.token_dataset import (
@@ -195,6 +196,24 @@ def test_merge_word_takes_lowest_rank_first():
     assert merge_word([], merges) == []
 
 
+def test_short_words_merge_like_long_ones(monkeypatch):
+    """With and without a heap, also where a merge gives a symbol that exists already."""
+    rng = random.Random(5)
+    for _ in range(2000):
+        merges, symbols = {}, 4
+        for rank in range(rng.randint(0, 12)):
+            pair = (rng.randrange(symbols), rng.randrange(symbols))
+            again = rng.random() < 0.2
+            if pair not in merges:
+                merges[pair] = (rank, rng.randrange(symbols) if again else symbols)
+                symbols += not again
+        word = [rng.randrange(4) for _ in range(rng.randint(0, 33))]
+        short = merge_word([*word], merges)
+        monkeypatch.setattr(codec, "SHORT_WORD", 0)
+        assert merge_word([*word], merges) == short
+        monkeypatch.undo()
+
+
 def placed(spark, sizes, seed=4):
     rng = random.Random(seed)
     rows = [(i + 1, [rng.randint(0, 9) for _ in range(n)]) for i, n in enumerate(sizes)]
@@ -261,21 +280,53 @@ def test_shards_of_equal_size(spark, folder, size):
         assert not rows or rows[0]["start_offset"] == low
 
 
+def most_tasks(spark, group, run):
+    """What ``run`` returns, and the tasks of its largest stage."""
+    spark.sparkContext.setJobGroup(group, "")
+    result = run()
+    spark.sparkContext.setJobGroup("", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return result, max(info.numTasks for info in map(tracker.getStageInfo, stages) if info is not None)
+
+
 def test_small_shards_share_tasks(spark, folder, monkeypatch):
     """A stream of many small shards is written by as many tasks as its tokens need."""
     monkeypatch.setattr(tokenbin, "TASK_TOKENS", 1005, raising=False)
     df, stream = placed(spark, SIZES)
-    spark.sparkContext.setJobGroup("small-shards", "")
-    tokenbin.write_stream(df.repartition(3), f"{folder}/s", "uint16", len(stream), 10)
-    spark.sparkContext.setJobGroup("", "")
-    tracker = spark.sparkContext.statusTracker()
-    stages = [s for j in tracker.getJobIdsForGroup("small-shards") for s in tracker.getJobInfo(j).stageIds]
-    assert max(tracker.getStageInfo(s).numTasks for s in stages) <= max(4, -(-len(stream) // 1000))
+    _, tasks = most_tasks(spark, "small-shards", lambda: tokenbin.write_stream(
+        df.repartition(3), f"{folder}/s", "uint16", len(stream), 10
+    ))
+    assert tasks <= 4
     assert shards(f"{folder}/s") == [(at, min(10, len(stream) - at)) for at in range(0, len(stream), 10)]
     rows = spark.read.format("tokenbin").load(f"{folder}/s").orderBy("start_offset").collect()
     assert [t for r in rows for t in r["ids"]] == stream
 
 
+@pytest.fixture(scope="module")
+def given(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("given"))
+    rows = [(i, text, "fr", "web") for i, text in enumerate(corpus(200, seed=8))]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    table.coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    return queries.dataset(spark, folder)
+
+
+@pytest.mark.parametrize(
+    "from_files, from_table",
+    [("token_bin_windows", "token_windows")],
+)
+def test_queries_on_many_small_shards(spark, given, monkeypatch, from_files, from_table):
+    """Hundreds of shards give the rows of the token table, without a task for each shard."""
+    monkeypatch.setattr(queries, "dataset", lambda spark, sf: given)
+    monkeypatch.setattr(queries, "SHARD", 20)
+    found = queries.queries()
+    rows, tasks = most_tasks(spark, from_files, lambda: found[from_files](spark, "").collect())
+    listed = found["token_bin_shards"](spark, "").count()
+    assert sorted(rows) == sorted(found[from_table](spark, "").collect())
+    assert listed > 300 and tasks <= 16
+
+
 def test_empty_stream(spark, folder):
     df, _ = placed(spark, [0, 0])
     tokenbin.write_stream(df, f"{folder}/s", "uint16", 0, 10)
