@@ -314,7 +314,7 @@ def given(spark, tmp_path_factory):
 
 @pytest.mark.parametrize(
     "from_files, from_table",
-    [("token_bin_windows", "token_windows")],
+    [("token_bin_windows", "token_windows"), ("token_bin_evaluation", "evaluation_report")],
 )
 def test_queries_on_many_small_shards(spark, given, monkeypatch, from_files, from_table):
     """Hundreds of shards give the rows of the token table, without a task for each shard."""
